@@ -292,7 +292,7 @@ def random_article(t: Tables):
 
 @query("delete_older_than", f"""
 with {FACTS} select doc_id, url_id as title, published, removed from (
- select doc_id, title as url_id, published, count_if(published < timestamp '{YEAR}-01-01') over () as removed
+ select doc_id, title as url_id, published, cast(count_if(published < timestamp '{YEAR}-01-01') over () as bigint) as removed
  from facts) where published is null or published >= timestamp '{YEAR}-01-01'""")
 def delete_older_than(t: Tables):
     kept, removed = B.delete_older_than(A.article_facts(t["v_articles"]), "published", f"{YEAR}-01-01")
