@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.session import materialize
+
 
 def token_array_ops(lines: DataFrame, column: str = "value") -> DataFrame:
     """First token and number of further ones; split at each single blank."""
@@ -42,6 +44,7 @@ def min_scalar_semijoin(
 ) -> DataFrame:
     """Names with the smallest positive count, or with a fixed one."""
     if exactly is None:
+        connections = materialize(connections, "connections")  # read twice below
         wanted = connections.filter(F.col("connections") > 0).agg(F.min("connections")).scalar()
     else:
         wanted = F.lit(exactly)

@@ -177,11 +177,14 @@ def category_count_in_year(articles: DataFrame, year: int) -> DataFrame:
 def word_histogram(articles: DataFrame, bins: int = 20) -> DataFrame:
     """Equal-width bins of the token count of dated articles; the last bin is closed.
 
-    Articles are first counted per length, and the bounds are taken from those
-    counts. Bin numbers are computed in whole numbers on doubled lengths, because
+    Articles are first counted per length; bounds and bins are taken from that
+    small table, so the texts are tokenized once. Bin numbers are computed in whole numbers on doubled lengths, because
     a single length gets a bin range of half a unit to either side.
     """
-    lengths = dated(articles).groupBy(F.col("n_tokens").alias("x")).agg(F.count("*").alias("n"))
+    lengths = materialize(
+        dated(articles).groupBy(F.col("n_tokens").alias("x")).agg(F.count("*").alias("n")),
+        "lengths",
+    )
     same = F.when(F.min("x") == F.max("x"), 1).otherwise(0)
     low = lengths.agg(2 * F.min("x") - same).scalar()
     high = lengths.agg(2 * F.max("x") + same).scalar()
@@ -219,8 +222,9 @@ def cumulative_articles(articles: DataFrame, unit: str = "day") -> DataFrame:
     most) on top of the months before (one row per calendar month).
     """
     at = F.date_trunc(unit, F.col("published")).cast("timestamp_ntz")
-    counts = dated(articles).groupBy(at.alias("at")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("month", F.trunc("at", "month"))
+    counts = materialize(
+        dated(articles).groupBy(at.alias("at")).agg(F.count("*").alias("n")), "times"
+    ).withColumn("month", F.trunc("at", "month"))
     months = counts.groupBy("month").agg(F.sum("n").alias("month_n"))
     earlier = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
     before = months.select("month", null_default(F.sum("month_n").over(earlier)).alias("before"))

@@ -135,10 +135,10 @@ def graph_avg_edge_property(edges: DataFrame, prop: str) -> DataFrame:
 
 def both_directions(edges: DataFrame) -> DataFrame:
     """Each edge as seen from either end; a loop is one edge and seen once."""
-    back = edges.filter(F.col("src") != F.col("dst")).select(
-        F.col("dst").alias("src"), F.col("src").alias("dst")
-    )
-    return edges.select("src", "dst").unionByName(back)
+    there = F.struct("src", "dst")
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    loop = F.col("src") == F.col("dst")
+    return edges.select(F.inline(F.when(loop, F.array(there)).otherwise(F.array(there, back))))
 
 
 def graph_undirected_hop(

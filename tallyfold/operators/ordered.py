@@ -64,7 +64,9 @@ def bucketed(
     df = df.withColumn(_POSITION, _position(df, order))
     slim = df.select(_POSITION)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(4 * tasks, math.ceil(slim.count() / rows_per_bucket))
+    rows = slim.count()
+    # Enough buckets to keep all tasks busy, but none for a handful of rows.
+    wanted = max(min(4 * tasks, rows // 1000), math.ceil(rows / rows_per_bucket))
     return _cut(df, _inner_bounds(slim, min(wanted, MAX_BUCKETS)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.ordered import ROWS_PER_BUCKET, cutoff, cutoffs, ordinal
+from tallyfold.session import materialize
 
 
 def kfold_positional_split(
@@ -49,7 +50,8 @@ def leave_n_out_split(
     numbered = ordinal(df, order, [user], "_n", rows_per_bucket)
     is_test = F.col("_n").between(start, stop)
     if max_test > 0:
-        last = cutoff(numbered.filter(is_test), order, max_test, rows_per_bucket=rows_per_bucket)
+        tests = materialize(numbered.filter(is_test).select(order), "tests")
+        last = cutoff(tests, order, max_test, rows_per_bucket=rows_per_bucket)
         is_test = is_test & (F.col(order) <= F.lit(last)) if last is not None else F.lit(False)
     return numbered.withColumn("is_test", is_test).drop("_n")
 

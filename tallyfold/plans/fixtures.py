@@ -64,6 +64,10 @@ from events""",
     "v_arrivals": """
 select event_id, ts, user_id, event_type, value,
  event_id + (event_id * 7919) % 13 as arrival_seq
+from events""",
+    "v_late": """
+select event_id, ts, event_type, event_id + case when event_type = 'error'
+ then cast(floor((select max(event_id) from events) * 0.4) as bigint) else 0 end as arrival_seq
 from events""",
     "v_messages": """
 select event_id,

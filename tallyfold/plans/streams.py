@@ -15,7 +15,7 @@ from tallyfold.streaming import jobs as J
 from tallyfold.streaming import runner
 from tallyfold.streaming.arrivals import stream_out_of_order
 
-ARRIVAL_CHUNKS = 6
+ARRIVAL_CHUNKS = 5
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
@@ -103,13 +103,13 @@ def stream_sliding_cond_count(t: Tables):
     return _naive(runner.run_append(counts, "sliding"), "start", "end")
 
 
-def arrival_chunks(t: Tables) -> str:
-    """Write the arrivals as a few files in order of arrival; returns their folder.
+def arrival_chunks(t: Tables, view: str) -> str:
+    """Write arrivals as a few files in order of arrival; returns their folder.
 
     One write per chunk, so that the modification times give the stream the order.
     """
     folder = scratch_path(t.spark, "arrivals")
-    rows = t["v_arrivals"]
+    rows = t[view]
     last = rows.agg(F.max("arrival_seq").alias("last")).first()["last"]
     size = last // ARRIVAL_CHUNKS + 1
     for i in range(ARRIVAL_CHUNKS):
@@ -118,11 +118,22 @@ def arrival_chunks(t: Tables) -> str:
     return folder
 
 
-@query("late_data_drop")
+@query("late_data_drop", f"""
+with c as (select ts, arrival_seq // ((select max(arrival_seq) from v_late) // {ARRIVAL_CHUNKS} + 1) as k
+ from v_late),
+m as (select k, max(ts) as top from c group by k),
+marks as (select r.i as k, max(top) - interval '2 hours' as mark
+ from range({ARRIVAL_CHUNKS}) r(i) left join m on m.k < r.i - 1 group by r.i)
+select date_trunc('hour', ts)::timestamp as start, count(*) as n from c join marks on c.k = marks.k
+where mark is null or date_trunc('hour', ts)::timestamp + interval '1 hour' > mark group by 1
+having start + interval '1 hour' <= (select max(ts) from events) - interval '2 hours'""")
 def late_data_drop(t: Tables):
-    """Hourly counts of the rows that a two-hour watermark lets through."""
-    folder = arrival_chunks(t)
-    arrivals = J.event_time(stream_table(t.spark, folder, t["v_arrivals"].schema, 1), "ts")
+    """Hourly counts of the rows that a two-hour watermark lets through.
+
+    A micro-batch drops rows against the watermark that the batch before it had.
+    """
+    folder = arrival_chunks(t, "v_late")
+    arrivals = J.event_time(stream_table(t.spark, folder, t["v_late"].schema, 1), "ts")
     counts = arrivals.withWatermark("ts", "2 hours").groupBy(F.window("ts", "1 hour")).agg(
         F.count("*").alias("n")
     )
@@ -135,7 +146,7 @@ select event_id, event_type, ts, previous_time from (select *, max(ts) over (
  partition by event_type order by arrival_seq rows between unbounded preceding and 1 preceding)
  as previous_time from v_arrivals) where ts < previous_time""")
 def stream_out_of_order_query(t: Tables):
-    folder = arrival_chunks(t)
+    folder = arrival_chunks(t, "v_arrivals")
     arrivals = stream_table(t.spark, folder, t["v_arrivals"].schema, 1)
     found = stream_out_of_order(arrivals, "ts", "arrival_seq", ["event_type"], compact_every=4)
     return found.select("event_id", "event_type", "ts", "previous_time")
