@@ -31,13 +31,14 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
 
 
 def first_per_key(batch: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key along a unique ``order``.
+    """The first row of each key along ``order``, which is unique within a key.
 
-    Only keys and order numbers are grouped; whole rows are then picked by their
-    order number, which is unique, so copies of one key do not meet in one task.
+    Only keys and order numbers are grouped; whole rows are then picked by both,
+    so copies of one key do not meet in one task.
     """
-    first = batch.groupBy(key).agg(F.min(order).alias("_first")).select("_first")
-    return batch.join(first, batch[order] == first["_first"], "left_semi")
+    first = batch.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+    same = batch[key].eqNullSafe(first["_key"]) & (batch[order] == first["_first"])
+    return batch.join(first, same, "left_semi")
 
 
 def anti_join_seen(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
