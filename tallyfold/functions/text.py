@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}_]+"
 _EDGE = r"[\p{L}\p{N}_]"
 
-# Code points at which Python's str.split() breaks (fixed values).
-SPACES = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# What Python's str.split() leaves together: all but Unicode white space and the four
+# separators U+001C to U+001F. (?U) tests one character property, which is several
+# times faster than a list of code point ranges.
+_SOLID = r"[\S&&[^\x1C-\x1F]]"
+TOKEN = f"(?U){_SOLID}+"
 
 
 def words(text: Column) -> Column:
@@ -30,16 +30,16 @@ def word_total(text: Column) -> Column:
 
 def whitespace_tokens(text: Column) -> Column:
     """Tokens between runs of Unicode white space; never an empty token."""
-    return F.regexp_extract_all(text, F.lit(f"[^{SPACES}]+"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 def whitespace_token_total(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"[^{SPACES}]+"))
+    return F.regexp_count(text, F.lit(TOKEN))
 
 
-def clean_word(token: Column) -> Column:
-    """ASCII letters and digits of ``token``, lower-cased; may be empty."""
-    return F.lower(F.regexp_replace(token, "[^a-zA-Z0-9]", ""))
+def clean_text(text: Column) -> Column:
+    """``text`` reduced to ASCII letters, digits and white space, lower-cased."""
+    return F.lower(F.regexp_replace(text, r"[^a-zA-Z0-9\s]+", ""))
 
 
 def ascii_strip(token: Column) -> Column:
@@ -47,10 +47,9 @@ def ascii_strip(token: Column) -> Column:
     return F.regexp_replace(token, r"[^\x00-\x7F]", "")
 
 
-def first_letter(token: Column) -> Column:
-    """Lower-cased first character, or null when it is not a letter."""
-    head = F.substring(token, 1, 1)
-    return F.when(head.rlike(r"^\p{L}$"), F.lower(head))
+def first_letters(text: Column) -> Column:
+    """First character of each white-space token, where it is a letter; an array."""
+    return F.regexp_extract_all(text, F.lit(rf"(?U)(?<!{_SOLID})\p{{L}}"), F.lit(0))
 
 
 def keyword_hits(text: Column, keyword: str) -> Column:

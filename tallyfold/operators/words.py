@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.text import (
     ascii_strip,
-    clean_word,
-    first_letter,
+    clean_text,
+    first_letters,
     keyword_hits,
     whitespace_tokens,
     words,
@@ -32,8 +32,8 @@ def tokenize_whitespace(df: DataFrame, column: str) -> DataFrame:
 
 def clean_words(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """One row per token reduced to ASCII letters and digits, beside ``keep``."""
-    tokens = df.select(*keep, F.explode(F.split(column, r"\s+")).alias("word"))
-    return tokens.withColumn("word", clean_word(F.col("word"))).filter(F.col("word") != "")
+    tokens = df.select(*keep, F.explode(F.split(clean_text(F.col(column)), r"\s+")).alias("word"))
+    return tokens.filter(F.col("word") != "")
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -66,8 +66,8 @@ def top_words(df: DataFrame, column: str, k: int = 20, min_length: int = 1) -> D
 
 def letters(df: DataFrame, column: str) -> DataFrame:
     """First letter of each white-space token that starts with a letter."""
-    heads = tokenize_whitespace(df, column).select(first_letter(F.col("word")).alias("letter"))
-    return heads.filter(F.col("letter").isNotNull())
+    heads = df.select(F.explode(first_letters(F.col(column))).alias("letter"))
+    return heads.select(F.lower("letter").alias("letter"))
 
 
 def letter_count(df: DataFrame, column: str) -> DataFrame:

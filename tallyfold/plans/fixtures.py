@@ -7,11 +7,15 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.sources.files import spread
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
+TEXT = {"documents", "pages"}
+
 # Portable SQL: run by Spark and, as CTEs, by the checking database.
 VIEWS = {
     "v_articles": """
@@ -111,7 +115,8 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(self.path(name))
+            table = self.spark.read.parquet(self.path(name))
+            return spread(table) if name in TEXT else table
         text = VIEWS[name].replace("{", "{{").replace("}", "}}")
         for base in _DEPENDS[name]:
             text = re.sub(rf"\b(from|join) {base}\b", rf"\1 {{{base}}}", text)

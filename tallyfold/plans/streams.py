@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators import words as W
-from tallyfold.plans.fixtures import Tables
+from tallyfold.plans.fixtures import TEXT, Tables
 from tallyfold.plans.registry import query
 from tallyfold.plans.text import TOKEN_SQL
 from tallyfold.session import scratch_path
@@ -21,7 +21,11 @@ ARRIVAL_CHUNKS = 5
 def _stream(t: Tables, name: str) -> DataFrame:
     # As a pattern, because a stream source takes a single file only by pattern.
     pattern = f"{t.sf_dir}/{{{name}.parquet}}"
-    return stream_table(t.spark, pattern, t[name].schema)
+    table = t.spark.read.parquet(t.path(name))
+    stream = stream_table(t.spark, pattern, table.schema)
+    tasks = t.spark.sparkContext.defaultParallelism
+    few = name in TEXT and table.rdd.getNumPartitions() < tasks
+    return stream.repartition(tasks) if few else stream
 
 
 def _naive(df: DataFrame, *columns: str) -> DataFrame:

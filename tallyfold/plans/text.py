@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import (
-    first_letter,
+    first_letters,
     keyword_hits,
     whitespace_tokens,
     words,
@@ -123,9 +123,8 @@ def filter_min_word_len(t: Tables):
 select doc_id, cast(sum(len(list_filter({tokens_sql('text')},
  lambda w: regexp_matches(w, '^\\p{{L}}')))) as bigint) as n_letters from documents group by doc_id""")
 def first_letter_query(t: Tables):
-    heads = F.transform(whitespace_tokens(F.col("text")), first_letter)
-    n = F.size(F.filter(heads, lambda c: c.isNotNull()))
-    return t["documents"].select("doc_id", n.cast("long").alias("n_letters"))
+    n = F.size(first_letters(F.col("text"))).cast("long")
+    return t["documents"].select("doc_id", n.alias("n_letters"))
 
 
 @query("letter_count", f"""

@@ -14,6 +14,16 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a plain file scan over at least as many tasks as run at once.
+
+    Few or unsplittable files would leave the heavy per-row work to a few tasks. A
+    scan that has enough partitions, as any large table does, is left as it is.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],

@@ -30,6 +30,17 @@ def test_words_equal_python_on_documents(spark):
         assert tokens == t.split()
 
 
+def test_every_space_equals_python(spark):
+    """Each code point below the surrogates, between two letters."""
+    points = spark.range(1, 0xD800).selectExpr(
+        "id", "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') as c")
+    tokens = T.whitespace_token_total(F.concat(F.lit("a"), F.col("c"), F.lit("b")))
+    heads = F.size(T.first_letters(F.concat(F.lit("1"), F.col("c"), F.lit("b"))))
+    for i, c, n, h in points.select("id", "c", tokens, heads).collect():
+        assert n == len(f"a{c}b".split()), hex(i)
+        assert h == sum(w[0].isalpha() for w in f"1{c}b".split()), hex(i)
+
+
 def test_whitespace_tokens_equal_python(spark, rows):
     df = rows("t string", *[(t,) for t in TEXTS])
     for t, tokens, n in df.select(
@@ -52,9 +63,10 @@ def test_keyword_must_be_a_word(keyword):
 
 def test_cleaning(rows):
     df = rows("t string", ("ab,C-1",), ("č",), ("Žena 1x Éa",))
-    assert [r[0] for r in df.select(T.clean_word(F.col("t"))).collect()] == ["abc1", "", "ena1xa"]
+    assert [r[0] for r in df.select(T.clean_text(F.col("t"))).collect()] == ["abc1", "", "ena 1x a"]
+    assert values(W.clean_words(df, "t")) == [("1x",), ("a",), ("abc1",), ("ena",)]
     assert [r[0] for r in df.select(T.ascii_strip(F.col("t"))).collect()] == ["ab,C-1", "", "ena 1x a"]
-    assert [r[0] for r in df.select(T.first_letter(F.col("t"))).collect()] == ["a", "č", "ž"]
+    assert [r[0] for r in df.select(T.first_letters(F.col("t"))).collect()] == [["a"], ["č"], ["Ž", "É"]]
     assert values(W.letter_count(df, "t")) == [("a", 1), ("é", 1), ("č", 1), ("ž", 1)]
 
 
