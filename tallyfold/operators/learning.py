@@ -62,7 +62,8 @@ def eval_accuracy(predictions: DataFrame, label: str, prediction: str = "predict
     return predictions.agg(ratio(right, F.count("*")).alias("accuracy"))
 
 
-def _training_input(df: DataFrame, partitions: int | None) -> DataFrame:
+def repartition_for_training(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows evenly over ``partitions`` tasks; iterations read all of them again and again."""
     return df.repartition(partitions) if partitions else df
 
 
@@ -71,7 +72,7 @@ def classify_logistic(
 ) -> DataFrame:
     """``test`` with logistic predictions; both frames carry ``features``."""
     model = LogisticRegression(featuresCol="features", labelCol=label)
-    return model.fit(_training_input(train, partitions)).transform(test)
+    return model.fit(repartition_for_training(train, partitions)).transform(test)
 
 
 def classify_mlp(
@@ -86,7 +87,7 @@ def classify_mlp(
         featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed,
         layers=[width, *hidden, classes],
     )
-    return model.fit(_training_input(train, partitions)).transform(test)
+    return model.fit(repartition_for_training(train, partitions)).transform(test)
 
 
 def fallback_model(

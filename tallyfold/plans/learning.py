@@ -36,6 +36,11 @@ def _classification(t: Tables):
     return P.hash_split(ready, "key", 0.9, 42)
 
 
+def _tasks(t: Tables) -> int:
+    """Training partitions: one wave of tasks per iteration."""
+    return t.spark.sparkContext.defaultParallelism
+
+
 def _prices(t: Tables):
     rows = t["part"].select("p_partkey", "p_size", "p_retailprice")
     return P.hash_split(rows, "p_partkey", 0.9, 42)
@@ -88,16 +93,16 @@ def eval_accuracy(t: Tables):
 @query("classify_logistic")
 def classify_logistic(t: Tables):
     train, test = _classification(t)
-    return L.classify_logistic(train, test).select("key", "label", "prediction")
+    return L.classify_logistic(train, test, partitions=_tasks(t)).select("key", "label", "prediction")
 
 
 @query("classify_mlp")
 def classify_mlp(t: Tables):
     train, test = _classification(t)
-    return L.classify_mlp(train, test).select("key", "label", "prediction")
+    return L.classify_mlp(train, test, partitions=_tasks(t)).select("key", "label", "prediction")
 
 
 @query("fallback_model")
 def fallback_model(t: Tables):
     train, test = _classification(t)
-    return L.fallback_model(train, test, floor=0.55)
+    return L.fallback_model(train, test, floor=0.55, partitions=_tasks(t))

@@ -53,7 +53,8 @@ def stream_text_queries(t: Tables):
 @query("stream_word_count", f"""
 select word, count(*) as n from ({_clean_sql('documents', '')}) where word <> '' group by word""")
 def stream_word_count(t: Tables):
-    return runner.run_complete(J.word_counts(_stream(t, "documents"), "text"), "words")
+    counts = J.word_counts(_stream(t, "documents"), "text", ordered=False)
+    return runner.run_complete(counts, "words").orderBy(F.desc("n"), "word")
 
 
 @query("stream_window_word_count", f"""
@@ -65,8 +66,9 @@ select start, start + interval '30 seconds' as "end", word, count(*) as n from s
 def stream_window_word_count(t: Tables):
     events = J.event_time(_stream(t, "events"), "ts")
     lines = events.select("ts", F.concat("event_type", F.lit("-x "), "props").alias("text"))
-    return _naive(runner.run_complete(J.window_word_counts(lines, "text", "ts"), "windows"),
-                  "start", "end")
+    counts = J.window_word_counts(lines, "text", "ts", ordered=False)
+    final = runner.run_complete(counts, "windows").orderBy("start", F.desc("n"), "word")
+    return _naive(final, "start", "end")
 
 
 @query("stream_letter_changelog", f"""
