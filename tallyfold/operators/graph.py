@@ -1,10 +1,9 @@
 """Property-graph queries over node and edge frames.
 
 Nodes are ``(id, labels array<string>, properties…)``; a relation is one frame of
-``(src, dst, properties…)`` whose end labels are fixed. Joins carry no hint:
-the matched side is usually small, which adaptive execution sees from its real
-size, and a dominant node is then not shuffled at all or split as a skewed
-partition.
+``(src, dst, properties…)`` whose end labels are fixed. Matched nodes are counted
+and, while few, broadcast, so edges are not shuffled and a dominant node does no
+harm; otherwise the join is a shuffle join, whose skewed partitions are split.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.values import ratio
 from tallyfold.operators.rows import union_all
+from tallyfold.operators.skew import checked_broadcast
+from tallyfold.session import materialize
 
 
 def as_nodes(df: DataFrame, label: str, id_column: str = "id") -> DataFrame:
@@ -38,11 +39,16 @@ def _matched(nodes: DataFrame, prop: str, value, out: str) -> DataFrame:
     return nodes.filter(F.col(prop) == value).select(F.col("id").alias(out))
 
 
+def _edges_of(edges: DataFrame, nodes: DataFrame, end: str, prop: str, value) -> DataFrame:
+    """Edges whose ``end`` is a node with the property value."""
+    return edges.join(checked_broadcast(_matched(nodes, prop, value, end)), end)
+
+
 def graph_in_neighbors(
     sources: DataFrame, edges: DataFrame, targets: DataFrame, prop: str, value, show: str
 ) -> DataFrame:
     """``show`` of the nodes with an edge to a matched node, in order."""
-    hits = edges.join(_matched(targets, prop, value, "dst"), "dst").select("src")
+    hits = _edges_of(edges, targets, "dst", prop, value).select("src")
     found = hits.join(sources, hits["src"] == sources["id"])
     return found.select(show).orderBy(show)
 
@@ -51,13 +57,13 @@ def graph_out_neighbors(
     sources: DataFrame, edges: DataFrame, targets: DataFrame, prop: str, value, show: str
 ) -> DataFrame:
     """``show`` of the nodes that a matched node has an edge to."""
-    hits = edges.join(_matched(sources, prop, value, "src"), "src").select("dst")
+    hits = _edges_of(edges, sources, "src", prop, value).select("dst")
     return hits.join(targets, hits["dst"] == targets["id"]).select(show)
 
 
 def graph_degree(sources: DataFrame, edges: DataFrame, prop: str, value) -> DataFrame:
     """Number of edges that leave the matched nodes."""
-    return edges.join(_matched(sources, prop, value, "src"), "src").agg(F.count("*").alias("n"))
+    return _edges_of(edges, sources, "src", prop, value).agg(F.count("*").alias("n"))
 
 
 def graph_common_neighbors(
@@ -68,10 +74,8 @@ def graph_common_neighbors(
     ``edges`` holds one edge per pair of nodes, so an edge pairs with itself only
     where both patterns match the same node.
     """
-    left = edges.join(_matched(sources, prop, one, "src"), "src").select("dst", F.col("src").alias("a"))
-    right = edges.join(_matched(sources, prop, other, "src"), "src").select(
-        "dst", F.col("src").alias("b")
-    )
+    left = _edges_of(edges, sources, "src", prop, one).select("dst", F.col("src").alias("a"))
+    right = _edges_of(edges, sources, "src", prop, other).select("dst", F.col("src").alias("b"))
     shared = left.join(right, "dst").filter(F.col("a") != F.col("b"))
     return shared.join(targets, shared["dst"] == targets["id"]).select(show)
 
@@ -149,9 +153,11 @@ def graph_undirected_hop(
 
     One row per contact edge and role edge.
     """
-    start = _matched(people, "name", name, "src")
-    near = both_directions(contacts).join(start, "src").select(F.col("dst").alias("id"))
+    near = _edges_of(both_directions(contacts), people, "src", "name", name).select(
+        F.col("dst").alias("id")
+    )
     near = near.join(people.filter(F.col("born") >= born_from).select("id", "name", "born"), "id")
+    near = checked_broadcast(materialize(near, "contacts"))
     paid = roles.filter(F.col("earnings") >= earnings_from).select("src", "earnings")
     found = near.join(paid, near["id"] == paid["src"])
     return found.select("name", "born", "earnings").orderBy(F.desc("earnings"), "name")

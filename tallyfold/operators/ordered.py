@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tallyfold.session import materialize
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096  # bounds every per-bucket list, and so what is broadcast
 _BUCKET, _POSITION = "_bucket", "_position"
@@ -159,8 +161,11 @@ def cutoffs(
     Rows are only counted per bucket, not moved; the bucket that holds a crossing
     is looked at again, until it is small.
     """
-    weight = F.lit(1) if weight is None else F.coalesce(weight, F.lit(0))
-    slim = df.select(order, weight.cast("long").alias("_weight"))
+    if weight is None:
+        slim = df.select(order, F.lit(1).cast("long").alias("_weight"))
+    else:  # weights are computed from whole rows: once
+        weight = F.coalesce(weight.cast("long"), F.lit(0))
+        slim = materialize(df.select(order, weight.alias("_weight")), "weights")
     slim = slim.withColumn(_POSITION, _position(slim, order))
     return _cutoffs(slim, order, list(limits), slim.count(), rows_per_bucket)
 

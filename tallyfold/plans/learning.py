@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyfold.operators import learning as L
@@ -46,17 +47,27 @@ def _prices(t: Tables):
     return P.hash_split(rows, "p_partkey", 0.9, 42)
 
 
-@query("assemble_features")
-def assemble_features(t: Tables):
-    ready = L.assemble_features(L.index_categories(_shipments(t), CATEGORIES), FEATURES)
-    return ready.select("key", "label", F.col("features").cast("string").alias("features"))
-
-
 _INDEX = " union all ".join(
     f"select '{c}' as column, {c} as value, cast(row_number() over (order by count(*) desc, {c}) - 1 "
     f"as double) as idx from s group by {c}"
     for c in CATEGORIES
 )
+_FEATURES_SQL = ", ".join(
+    [f"cast({c} as double) as {c}" for c in NUMBERS]
+    + [f"(select idx from i where i.column = '{c}' and i.value = s.{c}) as {c}_index" for c in CATEGORIES]
+)
+
+
+@query("assemble_features", f"""
+with s as (select concat_ws('-', l_orderkey, l_linenumber, l_partkey) as key,
+ cast(l_returnflag = 'R' as int) as label, month(l_shipdate) as month, * from lineitem
+ join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey),
+i as ({_INDEX}) select key, label, {_FEATURES_SQL} from s""")
+def assemble_features(t: Tables):
+    """Features as one vector, shown again as columns."""
+    ready = L.assemble_features(L.index_categories(_shipments(t), CATEGORIES), FEATURES)
+    parts = vector_to_array("features")
+    return ready.select("key", "label", *[parts[i].alias(name) for i, name in enumerate(FEATURES)])
 
 
 @query("index_categories", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,6 +27,11 @@ def build_session(app_name: str = "tallyfold", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tallyfold-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder named by ``spark.checkpoint.dir``.
 
@@ -36,8 +42,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallyfold-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL
 
 QUERIES = entry_points.queries()
-PYTHON = {"extract_articles", "extract_articles_fields", "extract_links"}
+PYTHON = {"extract_articles", "extract_links"}
 # Streams and model fits run while their frame is built; their inner plans are those of
 # the operators below.
 EAGER = {"late_data_drop", "multi_sink", "regress_tree", "classify_logistic", "classify_mlp",
