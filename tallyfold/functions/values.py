@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 
+# How older records give their comment count (fixed value).
+COMMENT_TEXT = r"\((\d+)\s+příspěvků\)"
+
 
 def extract_int(text: Column, pattern: str = r"(\d+)", group: int = 1, default: int = 0) -> Column:
     """The integer in a regex group of ``text``, or ``default``."""
@@ -18,7 +21,7 @@ def comment_total(text: Column) -> Column:
     """A comment count given as a number or as ``(N příspěvků)``; 0 otherwise."""
     return F.coalesce(
         text.try_cast("int"),
-        extract_int(text, r"\((\d+)\s+příspěvků\)"),
+        extract_int(text, COMMENT_TEXT),
     )
 
 

@@ -248,6 +248,11 @@ def length_comment_summary(articles: DataFrame, width: int = 100) -> DataFrame:
     )
 
 
+def length_comment_corr(articles: DataFrame) -> DataFrame:
+    """Correlation of token and comment counts over the dated articles, to six decimals."""
+    return dated(articles).agg(F.round(F.corr("n_tokens", "comments"), 6).alias("corr"))
+
+
 def corpus_report(
     articles: DataFrame, year: int, keyword: str, long_word: int = 6,
     top_long: int = 8, top_year: int = 5, top_keyword: int = 3,

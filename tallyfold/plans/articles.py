@@ -284,6 +284,12 @@ def length_comment_summary(t: Tables):
     return A.length_comment_summary(t["v_articles"])
 
 
+@query("length_comment_corr", f"""
+with {FACTS} select round(corr(n_tokens, comments), 6) as corr from facts where published is not null""")
+def length_comment_corr(t: Tables):
+    return A.length_comment_corr(t["v_articles"])
+
+
 @query("random_article", """
 select doc_id, title from v_articles order by md5('42-' || cast(doc_id as varchar)), doc_id limit 1""")
 def random_article(t: Tables):

@@ -128,6 +128,12 @@ def test_kafka_options():
     assert "kafka.group.id" not in S.kafka_options("k:9092", "t")
 
 
+def test_socket_reader(spark):
+    """Built only: the connection is made when a query starts."""
+    lines = S.stream_socket(spark, "localhost", 9999)
+    assert lines.isStreaming and lines.columns == ["value"]
+
+
 def test_console(spark, rows, folder):
     frame = rows("value string", ("a",))
     runner.run_console(J.passthrough(S.stream_table(spark, folder(frame), frame.schema)))
