@@ -44,6 +44,16 @@ def test_out_of_order_small(rows):
     assert values(ordered.out_of_order(df, "t", "a", ["k"]), "a") == [(5,)]
 
 
+def test_bounds_from_a_sample(table, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLES_PER_BUCKET", 10)
+    sizes = [r["count"] for r in ordered.bucketed(table, "seq", 100).groupBy("_bucket").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 600 and sum(sizes) == 5000
+    got = ordered.ordinal(table, "seq", rows_per_bucket=100).orderBy("seq").select("ordinal").collect()
+    assert [r[0] for r in got] == list(range(1, 5001))
+    assert ordered.cutoff(table, "seq", 1234, rows_per_bucket=100) == sorted(
+        r[0] for r in table.select("seq").collect())[1233]
+
+
 def test_null_key_is_a_group(rows):
     df = rows("a long, t int, k string", (1, 5, None), (2, 4, None))
     assert values(ordered.out_of_order(df, "t", "a", ["k"]), "a") == [(2,)]
