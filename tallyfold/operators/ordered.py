@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -25,8 +24,9 @@ from pyspark.sql.window import Window
 from tallyfold.session import materialize
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 16_384  # bounds every per-bucket list, and so what is broadcast
+MAX_BUCKETS = 16_384  # bounds every list of one row per bucket
 SAMPLES_PER_BUCKET = 200
+ROWS_PER_SEARCH = 100_000  # rows among which a cut-off is looked up in one task
 _BUCKET, _POSITION = "_bucket", "_position"
 
 
@@ -87,33 +87,27 @@ def _cut(df: DataFrame, bounds: Sequence[float]) -> DataFrame:
 
 
 def _running(
-    df: DataFrame,
-    order: str,
-    keys: Sequence[str],
-    value: Column,
-    gather: Callable[[str], Column],
-    merge: Callable[[Column, Column], Column],
-    include_self: bool,
-    rows_per_bucket: int,
-    out: str,
+    df: DataFrame, order: str, keys: Sequence[str], value: Column,
+    gather: Callable[[str], Column], include_self: bool, rows_per_bucket: int, out: str,
 ) -> DataFrame:
+    """``gather`` over the earlier rows.
+
+    What the buckets before have gathered enters each bucket as one more row, ahead
+    of all others: one shuffle and one sort of the rows, and no join.
+    """
     rows = bucketed(df.withColumn("_value", value), order, rows_per_bucket)
     per_bucket = rows.groupBy(*keys, _BUCKET).agg(gather("_value").alias("_total"))
     # Without keys this orders one row per bucket, MAX_BUCKETS at most.
     before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(*keys, _BUCKET, gather("_total").over(before).alias("_carried"))
-    if not keys:
-        carried = F.broadcast(carried)
-    side = carried.select(*[F.col(c).alias(f"_r_{c}") for c in carried.columns])
-    same = reduce(
-        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*keys, _BUCKET]]
+    carried = per_bucket.select(*keys, _BUCKET, gather("_total").over(before).alias("_value"))
+    both = rows.withColumn("_carried", F.lit(False)).unionByName(
+        carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
     )
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(order).rowsBetween(
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(F.desc("_carried"), order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if include_self else -1
     )
-    return rows.join(side, same).select(
-        *df.columns, merge(F.col("_r__carried"), gather("_value").over(inside)).alias(out)
-    )
+    gathered = both.select(*df.columns, "_carried", gather("_value").over(inside).alias(out))
+    return gathered.filter(~F.col("_carried")).drop("_carried")
 
 
 def running_max(
@@ -121,9 +115,7 @@ def running_max(
     include_self: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Largest ``value`` among the earlier rows (of the same ``keys``)."""
-    return _running(
-        df, order, keys, F.col(value), F.max, F.greatest, include_self, rows_per_bucket, out
-    )
+    return _running(df, order, keys, F.col(value), F.max, include_self, rows_per_bucket, out)
 
 
 def running_sum(
@@ -131,10 +123,8 @@ def running_sum(
     include_self: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Sum of ``value`` up to each row; nulls count as nothing."""
-    def add(a: Column, b: Column) -> Column:
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-
-    return _running(df, order, keys, value, F.sum, add, include_self, rows_per_bucket, out)
+    sums = _running(df, order, keys, value, F.sum, include_self, rows_per_bucket, out)
+    return sums.withColumn(out, F.coalesce(out, F.lit(0)))
 
 
 def ordinal(
@@ -158,7 +148,7 @@ def out_of_order(
 
 def cutoffs(
     df: DataFrame, order: str, limits: Sequence[int], weight: Column | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int = ROWS_PER_SEARCH,
 ) -> list:
     """Per limit, the last order key up to which the total weight is at most the limit.
 
@@ -179,8 +169,9 @@ def cutoffs(
 def _cutoffs(
     slim: DataFrame, order: str, limits: list[int], rows: int, rows_per_bucket: int
 ) -> list:
+    whole = (-math.inf, math.inf, limits)
     if rows <= rows_per_bucket:
-        return _small_cutoffs(slim, order, limits)
+        return _search(slim, order, [whole])[0]
     bounds = _inner_bounds(slim, min(math.ceil(rows / rows_per_bucket), MAX_BUCKETS), rows)
     tallies = (
         _cut(slim.withColumn("_at", F.col(_POSITION)), bounds)
@@ -191,7 +182,7 @@ def _cutoffs(
         .collect()  # at most MAX_BUCKETS rows
     )
     if len(tallies) < 2:  # one position only
-        return _small_cutoffs(slim, order, limits)
+        return _search(slim, order, [whole])[0]
     found: list = [None] * len(limits)
     crossings: dict[int, list[tuple[int, int]]] = {}
     for i, room in enumerate(limits):
@@ -201,29 +192,48 @@ def _cutoffs(
                 break
             room -= tally["weight"]
             found[i] = tally["last"]
-    for at, asked in crossings.items():
-        tally = tallies[at]
+    inner: dict[int, list] = {}
+    small = [at for at in crossings if tallies[at]["n"] <= 2 * rows_per_bucket]
+    ranges = [(tallies[at]["low"], tallies[at]["high"], [room for _, room in crossings[at]])
+              for at in small]
+    if small:
+        inner.update(zip(small, _search(slim, order, ranges)))
+    for at in set(crossings) - set(small):
+        tally, rooms = tallies[at], [room for _, room in crossings[at]]
         part = slim.filter(F.col(_POSITION).between(tally["low"], tally["high"]))
-        inner = _cutoffs(part, order, [room for _, room in asked], tally["n"], rows_per_bucket)
-        for (i, _), last in zip(asked, inner):
+        inner[at] = _cutoffs(part, order, rooms, tally["n"], rows_per_bucket)
+    for at, asked in crossings.items():
+        for (i, _), last in zip(asked, inner[at]):
             found[i] = found[i] if last is None else last
     return found
 
 
-def _small_cutoffs(slim: DataFrame, order: str, limits: list[int]) -> list:
-    """Cut-offs by one window over at most a bucket of keys."""
-    inside = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = slim.groupBy(order).agg(F.sum("_weight").alias("_weight")).select(
-        order, F.sum("_weight").over(inside).alias("_sum")
+def _search(
+    slim: DataFrame, order: str, ranges: list[tuple[float, float, list[int]]]
+) -> list[list]:
+    """Cut-offs within short ranges of positions, all in one scan; a task per range."""
+    part = F.coalesce(*[
+        F.when(F.col(_POSITION).between(low, high), i) for i, (low, high, _) in enumerate(ranges)
+    ])
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    sums = (
+        slim.withColumn("_part", part).filter(F.col("_part").isNotNull())
+        .groupBy("_part", order).agg(F.sum("_weight").alias("_weight"))
+        .select("_part", order, F.sum("_weight").over(inside).alias("_sum"))
     )
-    return list(sums.agg(
-        *[F.max(F.when(F.col("_sum") <= limit, F.col(order))).alias(str(i))
-          for i, limit in enumerate(limits)]
-    ).first())
+    asked = [(i, limit) for i, (_, _, limits) in enumerate(ranges) for limit in limits]
+    fits = [
+        F.max(F.when((F.col("_part") == i) & (F.col("_sum") <= limit), F.col(order))).alias(str(at))
+        for at, (i, limit) in enumerate(asked)
+    ]
+    answers = iter(sums.agg(*fits).first())
+    return [[next(answers) for _ in limits] for _, _, limits in ranges]
 
 
 def cutoff(df: DataFrame, order: str, limit: int, weight: Column | None = None,
-           rows_per_bucket: int = ROWS_PER_BUCKET):
+           rows_per_bucket: int = ROWS_PER_SEARCH):
     """``cutoffs`` for a single limit."""
     return cutoffs(df, order, [limit], weight, rows_per_bucket)[0]
 

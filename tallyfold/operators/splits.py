@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ordered import ROWS_PER_BUCKET, cutoff, cutoffs, ordinal
+from tallyfold.operators.ordered import ROWS_PER_BUCKET, ROWS_PER_SEARCH, cutoff, cutoffs, ordinal
 from tallyfold.session import materialize
 
 
 def kfold_positional_split(
     df: DataFrame, order: str, folds: int = 5, fold_size: int | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int = ROWS_PER_SEARCH,
 ) -> DataFrame:
     """``df`` with the fold (1 to ``folds``) of each row by position along ``order``.
 
@@ -51,7 +51,7 @@ def leave_n_out_split(
     is_test = F.col("_n").between(start, stop)
     if max_test > 0:
         tests = materialize(numbered.filter(is_test).select(order), "tests")
-        last = cutoff(tests, order, max_test, rows_per_bucket=rows_per_bucket)
+        last = cutoff(tests, order, max_test)
         is_test = is_test & (F.col(order) <= F.lit(last)) if last is not None else F.lit(False)
     return numbered.withColumn("is_test", is_test).drop("_n")
 
