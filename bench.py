@@ -16,15 +16,13 @@ from tallyfold.plans import REGISTRY
 from tallyfold.session import build_session
 
 HEADLINE = """
-tokenize_words word_count top_words top_words_of_year letter_count avg_word_length count_matches
-keyword_top_articles corpus_report duplicate_articles most_commented longest_shortest_article
-articles_by_year word_histogram cumulative_articles parse_json_records capped_rows first_n_records
-incremental_append frontier_new_urls extract_articles extract_links max_by_station spend_by_customer
-hyped_movies ratings_histogram argmax_lookup min_scalar_semijoin previous_time_lookup out_of_order
-out_of_order_by_key kfold_positional_split leave_n_out_split graph_in_neighbors
-graph_common_neighbors graph_undirected_hop graph_merge_edge graph_having_label
-graph_upsert_counter index_categories regress_tree stream_word_count stream_window_word_count
-stream_sliding_cond_count stream_out_of_order multi_sink
+word_count top_words top_words_of_year letter_count avg_word_length count_matches
+keyword_top_articles corpus_report duplicate_articles most_commented articles_by_year
+word_histogram capped_rows first_n_records incremental_append extract_articles max_by_station
+spend_by_customer hyped_movies argmax_lookup min_scalar_semijoin previous_time_lookup out_of_order
+kfold_positional_split leave_n_out_split graph_common_neighbors graph_undirected_hop
+graph_merge_edge graph_having_label graph_upsert_counter regress_tree stream_word_count
+stream_window_word_count stream_sliding_cond_count multi_sink
 """.split()
 
 
