@@ -3,11 +3,11 @@
 import io
 from contextlib import redirect_stdout
 
-import __spark_entry__ as entry_points
 import pytest
 from conftest import SMALL
 
-QUERIES = entry_points.queries()
+from tallyfold.plans import REGISTRY as QUERIES
+
 PYTHON = {"extract_articles", "extract_links"}
 # Streams and model fits run while their frame is built; their inner plans are those of
 # the operators below.

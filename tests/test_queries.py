@@ -5,7 +5,10 @@ import pytest
 from compare import database, difference, type_difference
 from conftest import SMALL
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from tallyfold.plans import REGISTRY
+
+QUERIES = REGISTRY
+SQL = {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
