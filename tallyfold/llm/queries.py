@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, sharding
+from tallyfold.llm import bpe, decontaminate, sharding
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -65,3 +65,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontaminate.hit_words("hits").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
