@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, decontaminate, sharding
+from tallyfold.llm import bpe, decontaminate, near_dups, sharding
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -78,3 +78,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, on 2-word shingles at a similarity of 0.8."""
+    return near_dups.near_duplicate_classes(table(spark, sf_dir, "documents"))
