@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, decontaminate, near_dups, sharding
+from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, sharding
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -84,3 +84,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, on 2-word shingles at a similarity of 0.8."""
     return near_dups.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the repeated blocks of lines, and the line spans removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs).select("doc_id", "text", "removed")
