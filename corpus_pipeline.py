@@ -3,17 +3,69 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, queries
+from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, quality, queries
 from tallyfold.session import materialize
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, learnt on the labelled ones, does not reject."""
+    measured = quality.with_features(docs, name="_features")
+    numbers = materialize(
+        measured.select("doc_id", F.col("_features").alias("features")), "features")
+    model = quality.train(numbers, queries.table(spark, sf_dir, "labels"))
+    scored = quality.scored(measured, model, "_score", "_features")
+    return scored.filter(F.col("_score") >= queries.QUALITY_FLOOR).select(docs.columns)
+
+
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without blocks of lines that stand in an earlier document.
+
+    A document all of whose lines go is a copy, and goes too; n_chars is counted anew.
+    """
+    left = line_dedup.without_repeated_lines(docs)
+    emptied = (F.size("removed") > 0) & (F.trim("text") == "")
+    changed = F.when(F.size("removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each class of near-duplicates."""
+    classes = near_dups.near_duplicate_classes(docs)
+    others = classes.filter("not kept").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages they share with the benchmark; n_chars is counted anew.
+
+    A document of which nothing but white space and signs is left goes.
+    """
+    found = decontaminate.contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+    hit = F.size("hits") > 0
+    whole = hit & (decontaminate.hit_words("hits") == F.col("n_words"))
+    cut = found.filter(~F.coalesce(whole, F.lit(False))).withColumn(
+        "text", decontaminate.without_hits("text", "hits"))
+    changed = F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", changed).select(docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    return bpe.encode(docs.select("doc_id", "text"), queries.tokenizer_path()).drop("text")
+    """Token ids of each document, and whether they decode to its text."""
+    encoded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), queries.tokenizer_path())
+    return bpe.decode(encoded, queries.tokenizer_path()).select(
+        "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("quality", good_quality),
+    ("line_dedup", unrepeated_lines),
+    ("near_duplicates", one_of_each),
+    ("decontamination", decontaminated),
+    ("tokens", tokens),
+]
 
 #: Trained models and fingerprints of whole texts have no SQL form.
 ORACLE_SQL = None
@@ -21,7 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, sharding
+from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, quality, sharding
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -91,3 +91,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the repeated blocks of lines, and the line spans removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select("doc_id", "text", "removed")
+
+
+#: A text of at least this score counts as good.
+QUALITY_FLOOR = 0.3
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; one pass over the texts, all else on their few numbers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = materialize(quality.with_features(docs).drop("text"), "features")
+    model = quality.train(measured, table(spark, sf_dir, "labels"))
+    return quality.scored(measured, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= QUALITY_FLOOR).cast("int").alias("predicted"),
+    )
