@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, quality, sharding
+from tallyfold.llm import bpe, decontaminate, html_text, line_dedup, near_dups, quality, sharding
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -107,3 +107,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= QUALITY_FLOOR).cast("int").alias("predicted"),
     )
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
