@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, decontaminate, html_text, line_dedup, near_dups, quality, sharding
+from tallyfold.llm import (
+    bpe, decontaminate, html_text, line_dedup, near_dups, neighbours, quality, sharding, url_filter,
+)
 from tallyfold.session import materialize
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
@@ -113,3 +115,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_neighbours")
+def op2(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """The 10 nearest found for every row whose id is divisible by 100."""
+    index = neighbours.build_index(table(spark, sf_dir, "embeddings"), k)
+    return neighbours.search(index, index.rows.filter("vec_id % 100 = 0"), k)
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the URL of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.seed_labels(pages))
+    return url_filter.judged(pages, model).select(
+        "page_id", "host", "path", "rule", "verdict", F.col("bad").alias("bad_probability"))
