@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    bpe, decontaminate, html_text, line_dedup, near_dups, neighbours, quality, sharding, url_filter,
+    bpe, decontaminate, html_text, licenses, line_dedup, near_dups, neighbours, quality, sharding,
+    url_filter,
 )
 from tallyfold.session import materialize
 
@@ -131,3 +132,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.seed_labels(pages))
     return url_filter.judged(pages, model).select(
         "page_id", "host", "path", "rule", "verdict", F.col("bad").alias("bad_probability"))
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses found in every document, and the best of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scanned(docs).select(
+        "doc_id", F.try_element_at("licenses", F.lit(1))["license_id"].alias("license_id"),
+        F.try_element_at("licenses", F.lit(1))["coverage"].alias("coverage"), "licenses")
