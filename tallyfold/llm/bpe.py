@@ -43,9 +43,9 @@ UNSETTLED = re.compile("[\u0530-\U0010ffff]")
 #: Longer texts are cut, at a change from other characters to white space, before the pattern runs.
 STRETCH = 1 << 18
 #: Distinct units whose tokens a Python process keeps; beyond that it starts anew.
-KEPT = 3 << 17
+KEPT = 1 << 18
 #: Bytes of text for which pieces are gathered before their merges run.
-GATHERED = 8 << 20
+GATHERED = 4 << 20
 #: Symbol of a position that is merged away, and of the walls between pieces.
 GONE = -1
 #: Up to so many positions of a pair are merged one by one.
@@ -321,6 +321,30 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
     return df.mapInArrow(run, _with(df, ids, ArrayType(IntegerType())))
 
 
+def round_trip(
+    df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", again: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: replaces the text by its ids and what they decode to."""
+    file = _shared(df, tokenizer)
+    kept = [name for name in df.columns if name != text]
+    schema = StructType([
+        *_with(df.select(kept), ids, ArrayType(IntegerType())).fields, StructField(again, StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            for part in slices(column, GATHERED):
+                flat, bounds = encoder(file).encode(column[part].to_pylist())
+                made = [decoded(encoder(file).vocab, flat[i:j])
+                        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                rows = batch.slice(part.start, part.stop - part.start).select(kept)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, lists, pa.array(made, pa.string())], names=[*kept, ids, again])
+
+    return df.mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text of a column of ids; null ids give null."""
     file = _shared(df, tokenizer)

@@ -63,8 +63,7 @@ def digest(ids: str) -> Column:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, tokenizer_path()).drop("text")
-    return bpe.decode(ids, tokenizer_path()).select(
+    return bpe.round_trip(docs, tokenizer_path()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
