@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, quality, queries
+from tallyfold.llm.frames import quoted
 from tallyfold.session import materialize
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all columns but the text as one, out of the way of an operator's own."""
+    rest = [quoted(name) for name in docs.columns if name != "text"]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("_doc"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], changed: Column | None = None) -> DataFrame:
+    """The columns of documents again; where ``changed`` holds, n_chars is that of the text left."""
+    out = []
+    for name in columns:
+        column = F.col("text") if name == "text" else F.col("_doc").getField(name)
+        if name == "n_chars" and changed is not None:
+            column = F.when(changed, F.length("text").cast("long")).otherwise(column)
+        out.append(column.alias(name))
+    return rows.select(*out)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model, learnt on the labelled ones, does not reject."""
-    measured = quality.with_features(docs, name="_features")
-    numbers = materialize(
-        measured.select("doc_id", F.col("_features").alias("features")), "features")
+    measured = quality.with_features(packed(docs))
+    numbers = materialize(measured.select("doc_id", "features"), "features")
     model = quality.train(numbers, queries.table(spark, sf_dir, "labels"))
-    scored = quality.scored(measured, model, "_score", "_features")
-    return scored.filter(F.col("_score") >= queries.QUALITY_FLOOR).select(docs.columns)
+    scored = quality.scored(measured, model)
+    return unpacked(scored.filter(F.col("score") >= queries.QUALITY_FLOOR), docs.columns)
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without blocks of lines that stand in an earlier document.
 
-    A document all of whose lines go is a copy, and goes too; n_chars is counted anew.
+    A document all of whose lines go is a copy, and goes too.
     """
-    left = line_dedup.without_repeated_lines(docs)
-    emptied = (F.size("removed") > 0) & (F.trim("text") == "")
-    changed = F.when(F.size("removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).select(docs.columns)
+    left = line_dedup.without_repeated_lines(packed(docs))
+    changed = F.size("removed") > 0
+    emptied = F.coalesce(changed & (F.trim("text") == ""), F.lit(False))
+    return unpacked(left.filter(~emptied), docs.columns, changed)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,17 +55,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages they share with the benchmark; n_chars is counted anew.
+    """Texts without the passages they share with the benchmark.
 
-    A document of which nothing but white space and signs is left goes.
+    A document all of whose words are such passages goes.
     """
-    found = decontaminate.contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(packed(docs), queries.table(spark, sf_dir, "benchmark"))
     hit = F.size("hits") > 0
     whole = hit & (decontaminate.hit_words("hits") == F.col("n_words"))
-    cut = found.filter(~F.coalesce(whole, F.lit(False))).withColumn(
-        "text", decontaminate.without_hits("text", "hits"))
-    changed = F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", changed).select(docs.columns)
+    cut = found.filter(~whole).withColumn("text", decontaminate.without_hits("text", "hits"))
+    return unpacked(cut, docs.columns, hit)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,9 +26,10 @@ import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
+from tallyfold.llm.frames import room_for
 from tallyfold.llm.words import slices
 
 #: The pattern that cuts a text into pieces, and the characters it takes as white space.
@@ -298,15 +299,10 @@ def _shared(df: DataFrame, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _with(df: DataFrame, column: str, kind) -> StructType:
-    if column in df.columns:
-        raise ValueError(f"the frame already has a column {column}")
-    return StructType([*df.schema.fields, StructField(column, kind)])
-
-
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds the list of token ids of a text column. ``tokenizer``: path of the vocabulary file."""
     file = _shared(df, tokenizer)
+    kept, schema = room_for(df, f"{ids} array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +314,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, lists], names=[*batch.schema.names, ids])
 
-    return df.mapInArrow(run, _with(df, ids, ArrayType(IntegerType())))
+    return kept.mapInArrow(run, schema)
 
 
 def round_trip(
@@ -326,9 +322,9 @@ def round_trip(
 ) -> DataFrame:
     """``encode`` and ``decode`` in one pass: replaces the text by its ids and what they decode to."""
     file = _shared(df, tokenizer)
+    df, schema = room_for(df, f"{ids} array<int>, {again} string")
     kept = [name for name in df.columns if name != text]
-    schema = StructType([
-        *_with(df.select(kept), ids, ArrayType(IntegerType())).fields, StructField(again, StringType())])
+    schema = StructType([f for f in schema.fields if f.name != text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,6 +344,7 @@ def round_trip(
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text of a column of ids; null ids give null."""
     file = _shared(df, tokenizer)
+    kept, schema = room_for(df, f"{text} string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,4 +354,4 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
                 for x in batch.column(batch.schema.get_field_index(ids))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, text])
 
-    return df.mapInArrow(run, _with(df, text, StringType()))
+    return kept.mapInArrow(run, schema)

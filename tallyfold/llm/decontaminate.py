@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.frames import room_for
 from tallyfold.llm.words import hashed_words, slices, text_buffers
 
 #: Words of a phrase.
@@ -227,10 +228,7 @@ def marks(
     the same as byte positions in the UTF-8 text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(phrases_block)
-    schema = (
-        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        + f", n_words bigint, hits array<{SPAN}>, items array<string>"
-    )
+    kept, schema = room_for(docs, f"n_words bigint, hits array<{SPAN}>, items array<string>")
     span = pa.struct([(name, pa.int64()) for name in ("first", "last", "start", "stop")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +266,7 @@ def marks(
                     pa.array([sorted(x) for x in items], pa.list_(pa.string())),
                 ], names=[*batch.schema.names, "n_words", "hits", "items"])
 
-    return docs.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def _merged(inside, bounds, starts, ends, offsets):

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyfold.llm.frames import room_for
 from tallyfold.llm.words import hashed_words, slices, text_buffers
 
 #: Share of a license's words that a text must hold in order.
@@ -147,7 +148,7 @@ def scanned(
     is small by nature (some hundred texts).
     """
     shared = docs.sparkSession.sparkContext.broadcast(licenses)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    kept, schema = room_for(docs, f"licenses {FOUND}")
     kind = pa.struct([
         ("license_id", pa.string()), ("coverage", pa.float64()), ("words", pa.int32()),
         ("start", pa.int64()), ("stop", pa.int64())])
@@ -167,4 +168,4 @@ def scanned(
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(lists, pa.list_(kind))], names=[*batch.schema.names, "licenses"])
 
-    return docs.mapInArrow(run, f"{schema}, licenses {FOUND}")
+    return kept.mapInArrow(run, schema)

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.frames import room_for
 from tallyfold.session import materialize
 
 #: Lines over which the rolling hash runs.
@@ -124,9 +125,11 @@ def _lists(chunks: DataFrame, *fields: str) -> DataFrame:
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text left and ``removed``, the line spans (start, end) taken out.
 
-    The texts are shuffled once, by row; both joins read that shuffle.
+    The texts are shuffled once, by row; both joins read that shuffle. Columns named removed, _row
+    and _spans are replaced or dropped.
     """
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    kept, _ = room_for(docs, "removed int, _row int, _spans int")
+    rows = kept.withColumn("_row", F.xxhash64("doc_id", "text"))
     chunks = materialize(chunk_hashes(rows), "chunks")
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
     places = materialize(chunks.join(repeated, "hash").select(*CHUNK_FIELDS), "places")

@@ -23,8 +23,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
+from tallyfold.llm.frames import room_for
 from tallyfold.llm.words import SPACED_BYTES, hashed_words, mixed, slices, text_buffers
 
 FEATURES = (
@@ -210,7 +211,7 @@ def fitted(values: np.ndarray, label: np.ndarray) -> Model:
 
 def with_features(docs: DataFrame, text: str = "text", name: str = "features") -> DataFrame:
     """Adds the numbers of each text as array<double>."""
-    schema = StructType([*docs.schema.fields, StructField(name, ArrayType(DoubleType()))])
+    kept, schema = room_for(docs, f"{name} array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +220,7 @@ def with_features(docs: DataFrame, text: str = "text", name: str = "features") -
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(made.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column | str) -> Column:
