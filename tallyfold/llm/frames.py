@@ -18,6 +18,19 @@ def room_for(df: DataFrame, ddl: str) -> tuple[DataFrame, StructType]:
     return kept, StructType([*kept.schema.fields, *added.fields])
 
 
+def bounded_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
+    """At most ``size`` rows, drawn by a hash of ``keys``; all rows if there are no more.
+
+    Rows are first thinned where they lie, to about ``size``, so that hardly more than these are
+    sorted, on whatever number of partitions the table has.
+    """
+    rows = df.count()
+    if rows > size:
+        share = int(size / rows * (1 << 30)) + 1
+        df = df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < share)
+    return df.orderBy(F.xxhash64(F.lit(1), *keys), *keys).limit(size)
+
+
 def quoted(name: str) -> Column:
     """A column by its name, whatever characters that has."""
     return F.col("`" + name.replace("`", "``") + "`")

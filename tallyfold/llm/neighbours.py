@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.llm.frames import bounded_sample
 from tallyfold.session import materialize
 
 #: Rows that the index is fitted on, at most; another such sample, disjoint, sets the probes.
@@ -186,7 +187,7 @@ def _as_matrix(vectors: pd.Series, width: int) -> np.ndarray:
 def build_index(vectors: DataFrame, k: int = 10, vec: str = "embedding") -> Index:
     """Fits the router on a sample by hash of the id, and gives every row its part."""
     rows = usable(vectors, vec)
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE + TRIALS).toPandas()
+    drawn = bounded_sample(rows, SAMPLE + TRIALS, "vec_id", "vec").toPandas()
     matrix = _as_matrix(drawn["vec"], 0)
     trials = min(TRIALS, len(matrix) // 4)
     router, probes = fitted(matrix[trials:], matrix[:trials], k)

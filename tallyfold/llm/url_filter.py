@@ -23,6 +23,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.frames import bounded_sample
+from tallyfold.session import materialize
+
 #: Verdict, host and beginning of the path of each rule.
 RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -120,14 +123,14 @@ class Model:
 
 def train(labels: DataFrame) -> Model:
     """Learns from labelled URLs: of each kind up to ``SAMPLE`` distinct ones, by hash of the URL."""
-    one_each = labels.filter("bad is not null").groupBy("url").agg(F.max("bad").alias("bad"))
+    one_each = materialize(
+        labels.filter("bad is not null").groupBy("url").agg(F.max("bad").alias("bad")), "labels")
     shares = one_each.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
     if not shares["n"] or shares["bad"] in (0, shares["n"]):
         return Model(None, {}, 0.0)
-    order = (F.xxhash64("url"), "url")
-    drawn = one_each.filter("bad = 1").orderBy(*order).limit(SAMPLE).union(
-        one_each.filter("bad = 0").orderBy(*order).limit(SAMPLE)).coalesce(1)
-    drawn = measured(drawn)
+    drawn = bounded_sample(one_each.filter("bad = 1"), SAMPLE, "url").union(
+        bounded_sample(one_each.filter("bad = 0"), SAMPLE, "url")).coalesce(1)
+    drawn = materialize(measured(drawn), "sample")
     rows = drawn.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).collect()
     total, bad = sum(r["n"] for r in rows), sum(r["bad"] for r in rows)
     rates = {r["suffix"]: (r["bad"] + PRIOR * bad / total) / (r["n"] + PRIOR) for r in rows}
