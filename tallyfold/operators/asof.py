@@ -22,5 +22,6 @@ def previous_time_lookup(
     times = materialize(
         df.filter(F.col(time).isNotNull()).groupBy(time).agg(F.count("*").alias("_n")), "times"
     )
-    earlier = running_max(times, time, time, out=out, rows_per_bucket=rows_per_bucket)
+    earlier = materialize(
+        running_max(times, time, time, out=out, rows_per_bucket=rows_per_bucket), "earlier-times")
     return salted_lookup(df, earlier, time, spread, "_n", "left")

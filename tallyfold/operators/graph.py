@@ -1,9 +1,9 @@
 """Property-graph queries over node and edge frames.
 
 Nodes are ``(id, labels array<string>, properties…)``; a relation is one frame of
-``(src, dst, properties…)`` whose end labels are fixed. Matched nodes are counted
-and, while few, broadcast, so edges are not shuffled and a dominant node does no
-harm; otherwise the join is a shuffle join, whose skewed partitions are split.
+``(src, dst, properties…)`` whose end labels are fixed. Joins are planned at run time:
+adaptive execution broadcasts a side that turns out small, as a few matched nodes
+do, and splits the skewed partitions of a shuffle join.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.values import ratio
 from tallyfold.operators.rows import union_all
-from tallyfold.operators.skew import checked_broadcast
 from tallyfold.session import materialize
 
 
@@ -41,7 +40,7 @@ def _matched(nodes: DataFrame, prop: str, value, out: str) -> DataFrame:
 
 def _edges_of(edges: DataFrame, nodes: DataFrame, end: str, prop: str, value) -> DataFrame:
     """Edges whose ``end`` is a node with the property value."""
-    return edges.join(checked_broadcast(_matched(nodes, prop, value, end)), end)
+    return edges.join(_matched(nodes, prop, value, end), end)
 
 
 def graph_in_neighbors(
@@ -107,19 +106,33 @@ def merge_by_key(
     node. ``batch`` holds both keys with ``source_id`` and ``target_id``, which
     serve for nodes that are new. Returns the new sources, edges and targets.
     """
-    def merged(nodes: DataFrame, key: str, label: str, node_id: str) -> DataFrame:
-        rows = batch.select(key, F.col(node_id).alias("id"), F.array(F.lit(label)).alias("labels"))
-        return graph_merge_nodes(nodes, rows, key)
-
     source_key, target_key = source[0], target[0]
-    sources = merged(sources, *source, "source_id")
-    targets = merged(targets, *target, "target_id")
+    # The batch is computed once, as its distinct pairs of keys.
+    batch = materialize(
+        batch.groupBy(source_key, target_key).agg(
+            F.min("source_id").alias("source_id"), F.min("target_id").alias("target_id")),
+        "merge-pairs")
+
+    def resolved(nodes: DataFrame, key: str, new_id: str) -> DataFrame:
+        """The node of each key of the batch, and whether it is new."""
+        once = batch.groupBy(key).agg(F.min(new_id).alias("new_id"))
+        known = once.join(nodes.select(key, F.col("id").alias("known_id")), key, "left")
+        return materialize(known.select(
+            key, F.coalesce("known_id", "new_id").alias("id"), F.col("known_id").isNull().alias("is_new")
+        ), "merge-nodes")
+
+    def with_new(nodes: DataFrame, keys: DataFrame, key: str, label: str) -> DataFrame:
+        fresh = keys.filter("is_new").select(key, "id", F.array(F.lit(label)).alias("labels"))
+        return nodes.unionByName(fresh, allowMissingColumns=True)
+
+    from_keys, to_keys = resolved(sources, source_key, "source_id"), resolved(targets, target_key, "target_id")
     pairs = (
-        batch.select(source_key, target_key).distinct()
-        .join(sources.select(source_key, F.col("id").alias("src")), source_key)
-        .join(targets.select(target_key, F.col("id").alias("dst")), target_key)
+        batch.select(source_key, target_key)
+        .join(from_keys.select(source_key, F.col("id").alias("src")), source_key)
+        .join(to_keys.select(target_key, F.col("id").alias("dst")), target_key)
     )
-    return sources, graph_merge_edge(edges, pairs), targets
+    return (
+        with_new(sources, from_keys, *source), graph_merge_edge(edges, pairs), with_new(targets, to_keys, *target))
 
 
 def graph_set_property(nodes: DataFrame, updates: DataFrame, key: str, prop: str) -> DataFrame:
@@ -153,11 +166,13 @@ def graph_undirected_hop(
 
     One row per contact edge and role edge.
     """
-    near = _edges_of(both_directions(contacts), people, "src", "name", name).select(
-        F.col("dst").alias("id")
-    )
+    ends = _matched(people, "name", name, "end")
+    # Edges are turned round only once they are known to touch the person; a loop counts once.
+    outward = contacts.join(ends, contacts["src"] == ends["end"], "left_semi").select("src", "dst")
+    inward = contacts.filter("src != dst").join(ends, contacts["dst"] == ends["end"], "left_semi").select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"))
+    near = outward.unionByName(inward).select(F.col("dst").alias("id"))
     near = near.join(people.filter(F.col("born") >= born_from).select("id", "name", "born"), "id")
-    near = checked_broadcast(materialize(near, "contacts"))
     paid = roles.filter(F.col("earnings") >= earnings_from).select("src", "earnings")
     found = near.join(paid, near["id"] == paid["src"])
     return found.select("name", "born", "earnings").orderBy(F.desc("earnings"), "name")

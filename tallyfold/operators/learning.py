@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,33 +21,60 @@ def assemble_features(df: DataFrame, columns: Sequence[str], invalid: str = "ski
     ).transform(df)
 
 
-def index_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``<column>_index`` per text column: 0 is the most frequent value."""
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid="skip"
-    )
-    return indexer.fit(df).transform(df)
+def fit_categories(df: DataFrame, columns: Sequence[str], invalid: str = "skip") -> StringIndexerModel:
+    """Learns an index per text column: 0 is the most frequent value.
+
+    ``invalid`` says what ``transform`` does with a row that holds a null or a value not seen here:
+    skip drops the row, keep gives the value one index more, error stops.
+    """
+    return StringIndexer(
+        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid=invalid
+    ).fit(df)
+
+
+def index_categories(
+    df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None, invalid: str = "skip"
+) -> DataFrame:
+    """``<column>_index`` per text column, learnt on ``fitted_on`` (default: ``df`` itself)."""
+    return fit_categories(df if fitted_on is None else fitted_on, columns, invalid).transform(df)
 
 
 def index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The values of each indexed column with their index."""
-    indexed = index_categories(df, columns)
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"{c}_index").alias("idx"))
-        for c in columns
-    ])
-    return indexed.select(F.inline(pairs)).distinct()
+    """The values of each indexed column with their index, as the fitted model lists them."""
+    rows = [
+        (column, value, float(i))
+        for column, values in zip(columns, fit_categories(df, columns).labelsArray)
+        for i, value in enumerate(values)
+    ]
+    return df.sparkSession.createDataFrame(rows, "column string, value string, idx double")
+
+
+def leaf_means(train: DataFrame, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``test`` with the tree's ``prediction`` and ``is_leaf_mean``.
+
+    A tree predicts the mean label of the training rows in the same leaf, which are those
+    with the same prediction. Both are compared to nine digits.
+    """
+    model = fit_tree(train, features, label)
+    means = model.transform(train).groupBy("prediction").agg(F.avg(label).alias("_mean"))
+    near = F.abs(F.col("prediction") - F.col("_mean")) <= F.abs(F.col("_mean")) * 1e-9
+    return model.transform(test).join(F.broadcast(means), "prediction", "left").withColumn(
+        "is_leaf_mean", F.coalesce(near, F.lit(False))).drop("features", "_mean")
+
+
+def fit_tree(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
+    """A decision tree of at most 2**5 leaves."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="features"),
+        DecisionTreeRegressor(featuresCol="features", labelCol=label, seed=42),
+    ]).fit(train)
 
 
 def regress_tree(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str
 ) -> DataFrame:
     """``test`` with the ``prediction`` of a decision tree fitted on ``train``."""
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        DecisionTreeRegressor(featuresCol="features", labelCol=label, seed=42),
-    ]
-    return Pipeline(stages=stages).fit(train).transform(test).drop("features")
+    return fit_tree(train, features, label).transform(test).drop("features")
 
 
 def eval_rmse(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -4,16 +4,19 @@ A window without partition keys would sort the whole table in one task. Here the
 order is cut into buckets of about equal row counts (quantiles, so a dense
 stretch of the order does not fill one bucket); each bucket is reduced to one
 row, the short list of buckets is accumulated, and only then are rows ordered,
-inside their bucket. With grouping keys a large group spreads over the buckets
-it covers instead of landing in one task.
+inside their bucket. With grouping keys, groups of more rows than a bucket spread over
+the buckets they cover; all others are ordered whole.
 
-Order keys have to be unique: rows that share one fall into the same bucket.
+Order keys have to be unique: rows that share one fall into the same bucket. A null
+key comes after all others, whatever the size of the table: it counts, and rows with
+null keys are chosen last, all together or not at all, like rows of any one key.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -24,29 +27,61 @@ from pyspark.sql.window import Window
 from tallyfold.session import materialize
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 16_384  # bounds every list of one row per bucket
+# Bounds every list of one row per bucket. Above 65 billion rows buckets grow with the
+# table, to 15 million rows at a trillion; sorting them spills but stays in many tasks.
+MAX_BUCKETS = 65_536
 SAMPLES_PER_BUCKET = 200
 ROWS_PER_SEARCH = 100_000  # rows among which a cut-off is looked up in one task
 _BUCKET, _POSITION = "_bucket", "_position"
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """``order`` as a double that never decreases along the order."""
-    kind = df.schema[order].dataType
-    col = F.col(order)
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
+class _Everything:
+    """In place of a last key: all rows, those with null keys included."""
+
+    def __repr__(self) -> str:
+        return "EVERYTHING"
+
+
+EVERYTHING = _Everything()
+
+
+def _whole_number(df: DataFrame, order: str) -> Column | None:
+    """The order key as a long, without loss; None if it is a fraction."""
+    kind, col = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.IntegralType):
+        return col.cast("long")
     if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
+        return F.unix_date(col).cast("long")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
+        return F.unix_micros(col)
     if isinstance(kind, T.TimestampNTZType):
         # Field by field: independent of the session zone and its clock changes.
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60
-        return F.unix_date(F.to_date(col)) * F.lit(86400.0) + seconds + F.second(col)
+        minutes = (F.unix_date(F.to_date(col)).cast("long") * 24 + F.hour(col)) * 60 + F.minute(col)
+        return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")
+    if isinstance(kind, T.NumericType):
+        return None
     raise TypeError(f"cannot bucket an order key of type {kind.simpleString()}")
 
 
+def _positioned(df: DataFrame, order: str) -> tuple[DataFrame, int, int]:
+    """``df`` with ``_position``, its rows with a key, and those without.
+
+    A position is a double that never decreases along the order: the distance from the
+    least key. It is exact up to 2**53; beyond that at most 2**11 whole keys share one.
+    """
+    number = _whole_number(df, order)
+    col = F.col(order) if number is None else number
+    facts = df.agg(
+        F.count(order).alias("rows"), F.count("*").alias("all"), F.min(col).alias("low"), F.max(col).alias("high")
+    ).first()
+    if number is not None and facts["low"] is not None:
+        if facts["high"] - facts["low"] < 1 << 63:
+            col = number - F.lit(facts["low"])
+        else:
+            col = number.cast("decimal(20,0)") - F.lit(facts["low"]).cast("decimal(20,0)")
+    return df.withColumn(_POSITION, col.cast("double")), facts["rows"], facts["all"] - facts["rows"]
+
+
 def _inner_bounds(slim: DataFrame, buckets: int, rows: int) -> list[float]:
     """Quantiles of ``_position`` that cut ``slim`` into at most ``buckets`` pieces.
 
@@ -67,15 +102,21 @@ def bucketed(
     """``df`` with a ``_bucket`` column; bucket numbers rise along ``order``.
 
     The bounds are literals, so a task run again after a lost executor assigns
-    the same buckets.
+    the same buckets. Rows without a key fill the last buckets, dealt by their content.
     """
-    df = df.withColumn(_POSITION, _position(df, order))
-    slim = df.select(_POSITION)
+    columns = [f"`{c}`" for c in df.columns]
+    df, rows, without = _positioned(df, order)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = slim.count()
     # Enough buckets to keep all tasks busy, but none for a handful of rows.
     wanted = max(min(4 * tasks, rows // 1000), math.ceil(rows / rows_per_bucket))
-    return _cut(df, _inner_bounds(slim, min(wanted, MAX_BUCKETS), rows))
+    bounds = _inner_bounds(df.filter(F.col(_POSITION).isNotNull()), min(wanted, MAX_BUCKETS), rows)
+    cut = _cut(df, bounds)
+    more = min(math.ceil(without / rows_per_bucket), MAX_BUCKETS)
+    if more > 1:
+        dealt = F.pmod(F.xxhash64(*columns), F.lit(more)).cast("int")
+        cut = cut.withColumn(
+            _BUCKET, F.when(F.col(order).isNull(), F.col(_BUCKET) + dealt).otherwise(F.col(_BUCKET)))
+    return cut
 
 
 def _cut(df: DataFrame, bounds: Sequence[float]) -> DataFrame:
@@ -83,7 +124,10 @@ def _cut(df: DataFrame, bounds: Sequence[float]) -> DataFrame:
         splits=[-math.inf, *bounds, math.inf] if bounds else [-math.inf, 0.0, math.inf],
         inputCol=_POSITION, outputCol=_BUCKET, handleInvalid="keep",
     )
-    return cutter.transform(df).withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(_POSITION)
+    # A null is no position for the cutter; it goes behind all of them.
+    last = F.lit(max(len(bounds), 1) + 1)
+    return cutter.transform(df).withColumn(
+        _BUCKET, F.coalesce(F.col(_BUCKET).cast("int"), last)).drop(_POSITION)
 
 
 def _running(
@@ -92,6 +136,33 @@ def _running(
 ) -> DataFrame:
     """``gather`` over the earlier rows.
 
+    Rows of a key with at most ``rows_per_bucket`` of them are ordered whole, in one shuffle.
+    Only keys beyond that, of which there are few by their number of rows, are cut into buckets.
+    """
+    if keys:
+        hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_bucket).drop("_n")
+        hot = materialize(hot, "hot-keys")
+        inside = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow if include_self else -1)
+        if hot.isEmpty():
+            return df.withColumn(out, gather(value).over(inside))
+        named = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
+        # At most one row in ``rows_per_bucket`` of the table.
+        flagged = df.join(F.broadcast(named), same, "left")
+        cold = flagged.filter(F.col("_hot").isNull()).select(df.columns)
+        rest = _in_buckets(
+            flagged.filter("_hot").select(df.columns), order, keys, value, gather, include_self, rows_per_bucket, out)
+        return cold.withColumn(out, gather(value).over(inside)).unionByName(rest)
+    return _in_buckets(df, order, keys, value, gather, include_self, rows_per_bucket, out)
+
+
+def _in_buckets(
+    df: DataFrame, order: str, keys: Sequence[str], value: Column,
+    gather: Callable[[str], Column], include_self: bool, rows_per_bucket: int, out: str,
+) -> DataFrame:
+    """``gather`` over the earlier rows, bucket by bucket.
+
     What the buckets before have gathered enters each bucket as one more row, ahead
     of all others: one shuffle and one sort of the rows, and no join.
     """
@@ -103,7 +174,8 @@ def _running(
     both = rows.withColumn("_carried", F.lit(False)).unionByName(
         carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
     )
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(F.desc("_carried"), order).rowsBetween(
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(
+        F.desc("_carried"), F.asc_nulls_last(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if include_self else -1
     )
     gathered = both.select(*df.columns, "_carried", gather("_value").over(inside).alias(out))
@@ -152,8 +224,10 @@ def cutoffs(
 ) -> list:
     """Per limit, the last order key up to which the total weight is at most the limit.
 
+    EVERYTHING where rows with null keys fit too; None where not even the first row fits.
+
     Weights must not be negative; without one each row weighs 1, so the result
-    is the ``limit``-th smallest key. None where not even the first row fits.
+    is the ``limit``-th smallest key.
     Rows are only counted per bucket, not moved; the bucket that holds a crossing
     is looked at again, until it is small.
     """
@@ -162,8 +236,23 @@ def cutoffs(
     else:  # weights are computed from whole rows: once
         weight = F.coalesce(weight.cast("long"), F.lit(0))
         slim = materialize(df.select(order, weight.alias("_weight")), "weights")
-    slim = slim.withColumn(_POSITION, _position(slim, order))
-    return _cutoffs(slim, order, list(limits), slim.count(), rows_per_bucket)
+    slim, rows, without = _positioned(slim, order)
+    limits, found = list(limits), []
+    if rows:
+        found = _cutoffs(slim.filter(F.col(order).isNotNull()), order, limits, rows, rows_per_bucket)
+    else:
+        found = [None] * len(limits)
+    if without:
+        total = slim.agg(F.sum("_weight")).first()[0]
+        found = [EVERYTHING if limit >= total else last for limit, last in zip(limits, found)]
+    return found
+
+
+def up_to(order: str, last) -> Column:
+    """Whether a row lies at or before a cut-off; null for a null key beyond it."""
+    if last is None or last is EVERYTHING:
+        return F.lit(last is EVERYTHING)
+    return F.col(order) <= F.lit(last)
 
 
 def _cutoffs(
@@ -238,14 +327,15 @@ def cutoff(df: DataFrame, order: str, limit: int, weight: Column | None = None,
     return cutoffs(df, order, [limit], weight, rows_per_bucket)[0]
 
 
-def first_n_records(df: DataFrame, order: str, n: int) -> DataFrame:
+def first_n_records(
+    df: DataFrame, order: str, n: int, rows_per_bucket: int = ROWS_PER_SEARCH
+) -> DataFrame:
     """The first ``n`` rows along a unique ``order``.
 
     ``n`` may be large: the n-th key is found from the order column alone, and
     the wide rows are then filtered where they lie.
     """
-    last = cutoff(df, order, n)
-    return df.filter(F.lit(False)) if last is None else df.filter(F.col(order) <= F.lit(last))
+    return df.filter(up_to(order, cutoff(df, order, n, rows_per_bucket=rows_per_bucket)))
 
 
 def json_bytes(df: DataFrame, order: str) -> Column:
@@ -254,8 +344,10 @@ def json_bytes(df: DataFrame, order: str) -> Column:
     return F.octet_length(F.to_json(F.struct(*fields))) + F.lit(1)
 
 
-def capped_rows(df: DataFrame, order: str, cap_bytes: int, size: Column | None = None) -> DataFrame:
+def capped_rows(
+    df: DataFrame, order: str, cap_bytes: int, size: Column | None = None,
+    rows_per_bucket: int = ROWS_PER_SEARCH,
+) -> DataFrame:
     """The longest run of first rows whose total size is at most ``cap_bytes``."""
     size = json_bytes(df, order) if size is None else size
-    last = cutoff(df, order, cap_bytes, size)
-    return df.filter(F.lit(False)) if last is None else df.filter(F.col(order) <= F.lit(last))
+    return df.filter(up_to(order, cutoff(df, order, cap_bytes, size, rows_per_bucket)))

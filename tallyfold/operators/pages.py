@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -24,8 +25,13 @@ VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen link "
     "menuitem meta nextid param source spacer track wbr".split()
 )
+ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote details dialog div dl fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
+)
 NOT_PROSE = frozenset(["rp", "rt", "script", "style", "template"])
 
+LARGEST = (1 << 63) - 1
 ARTICLE_COLUMNS = (
     "page_id long, url string, title string, content string, category string, image_count long, "
     "publication_date string, comment_count long"
@@ -35,8 +41,9 @@ ARTICLE_COLUMNS = (
 class PageReader(HTMLParser):
     """Collects the texts of interest while tags open and close.
 
-    An end tag closes the nearest open element of its name and all inside it; an
-    unclosed paragraph therefore repeats the text of the ones nested in it.
+    An end tag closes the nearest open element of its name and all inside it. A paragraph
+    also ends, as in HTML, where an element begins that cannot be part of one, so the text
+    read never exceeds that of the page.
     """
 
     def __init__(self) -> None:
@@ -46,6 +53,7 @@ class PageReader(HTMLParser):
         self.images = 0
         self.anchors: list[dict[str, str]] = []
         self._open: list[tuple[str, list[str] | None]] = []
+        self._counts: Counter[str] = Counter()
         self._text: list[str] = []
 
     def read(self, html: str) -> PageReader:
@@ -62,10 +70,13 @@ class PageReader(HTMLParser):
 
     def _start(self, tag, attrs, closed):
         self._flush()
+        if tag in ENDS_PARAGRAPH and self._paragraphs:
+            self._close("p")
         known = {name: value or "" for name, value in attrs}
         sink = self._sink_for(tag, known)
         if not closed:
             self._open.append((tag, sink))
+            self._counts[tag] += 1
 
     def _sink_for(self, tag, attrs) -> list[str] | None:
         if tag == "p":
@@ -87,9 +98,19 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(name == tag for name, _ in self._open):
-            while self._open.pop()[0] != tag:
-                pass
+        self._close(tag)
+
+    def _close(self, tag):
+        if not self._counts[tag]:
+            return
+        name = None
+        while name != tag:
+            name, _ = self._open.pop()
+            self._counts[name] -= 1
+
+    @property
+    def _paragraphs(self) -> int:
+        return self._counts["p"]
 
     def handle_data(self, data):
         self._text.append(data)
@@ -97,7 +118,7 @@ class PageReader(HTMLParser):
     def _flush(self, *_):
         text = "".join(self._text).strip()
         self._text.clear()
-        if text and not any(name in NOT_PROSE for name, _ in self._open):
+        if text and not any(self._counts[name] for name in NOT_PROSE):
             for _, sink in self._open:
                 if sink is not None:
                     sink.append(text)
@@ -108,18 +129,32 @@ class PageReader(HTMLParser):
         return "".join(self.first[name]) if name in self.first else None
 
 
+def read_page(html: str | None) -> PageReader | None:
+    """The page's texts, or None if the parser gives up on it."""
+    if html is None:
+        return None
+    try:
+        return PageReader().read(html)
+    except (AssertionError, ValueError, IndexError, RecursionError):
+        return None
+
+
 def read_article(page_id, url, html) -> tuple | None:
     """One article record, or None for a page that cannot be read."""
-    if html is None or url is None or url.count("/") < 3:
+    if url is None or url.count("/") < 3:
+        return None
+    page = read_page(html)
+    if page is None:
         return None
-    page = PageReader().read(html)
     comments = 0
     said = page.text_of("comment span")
     if said is not None:
         number = re.search(r"\d+", said)
         if number is None:
             return None
-        comments = int(number.group())
+        comments = int(number.group()) if len(number.group()) <= 20 else LARGEST + 1
+        if comments > LARGEST:
+            return None
     title, date = page.text_of("h1"), page.text_of("time")
     content = "\n".join("".join(p) for p in page.paragraphs)
     return (
@@ -129,7 +164,10 @@ def read_article(page_id, url, html) -> tuple | None:
 
 
 def extract_articles(pages: DataFrame) -> DataFrame:
-    """Article records of ``pages (page_id, url, html)``; unreadable pages are dropped."""
+    """Article records of ``pages (page_id, url, html)``.
+
+    Pages that cannot be read are dropped one by one; ``dropped_pages`` counts them.
+    """
     names = [part.split()[0] for part in ARTICLE_COLUMNS.split(", ")]
 
     def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,14 +188,25 @@ def extract_links(pages: DataFrame, css_class: str | None = LINK_CLASS) -> DataF
         for batch in batches:
             rows = [
                 (page_id, pos, attrs.get("href"))
-                for page_id, html in zip(batch["page_id"], batch["html"]) if html is not None
-                for pos, attrs in enumerate(filter(wanted, PageReader().read(html).anchors))
+                for page_id, page in zip(batch["page_id"], map(read_page, batch["html"])) if page
+                for pos, attrs in enumerate(filter(wanted, page.anchors))
             ]
             yield pd.DataFrame(rows, columns=["page_id", "pos", "href"])
 
     return pages.select("page_id", "html").mapInPandas(read, "page_id long, pos long, href string")
 
 
+def dropped_pages(pages: DataFrame) -> DataFrame:
+    """The number of pages that give no article record, as ``n``."""
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = map(read_article, batch["page_id"], batch["url"], batch["html"])
+            yield pd.DataFrame({"n": [sum(row is None for row in rows)]})
+
+    counted = pages.select("page_id", "url", "html").mapInPandas(read, "n long")
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def page_facts(pages: DataFrame) -> DataFrame:
     """First heading, image count and category by patterns, without Python."""
     heading = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)

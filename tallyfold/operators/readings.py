@@ -42,11 +42,14 @@ def spend_by_customer(df: DataFrame, customer: str, price: str) -> DataFrame:
 
 
 def avg_by_group_sql(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Average per group through SQL text, to two decimals, ordered by group."""
+    """Average per group through SQL text, to two decimals, ordered by group.
+
+    Values enter with ten decimals, so sums are exact and only the result is rounded to two.
+    """
     return df.sparkSession.sql(
         f"""
         SELECT `{group}` AS group_key,
-               CAST(ROUND(AVG(CAST(`{value}` AS {MONEY})), 2) AS DOUBLE) AS avg_value
+               CAST(ROUND(AVG(CAST(`{value}` AS DECIMAL(28, 10))), 2) AS DOUBLE) AS avg_value
         FROM {{rows}} GROUP BY `{group}` ORDER BY `{group}`
         """,
         rows=df,

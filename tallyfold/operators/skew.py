@@ -6,17 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPLITS = 64
-BROADCAST_ROWS = 200_000
-
-
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, else as it is.
-
-    For a few looked-up ids: the count costs one filtered scan of a small table and
-    saves the shuffle of a large one, which a plan made from file sizes would do. A
-    longer list is left to the planner, as a shuffle join with skew handling.
-    """
-    return F.broadcast(df) if df.count() <= limit else df
 
 
 def salted_lookup(

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ordered import ROWS_PER_BUCKET, ROWS_PER_SEARCH, cutoff, cutoffs, ordinal
+from tallyfold.operators.ordered import (
+    ROWS_PER_BUCKET, ROWS_PER_SEARCH, cutoff, cutoffs, ordinal, up_to,
+)
 from tallyfold.session import materialize
 
 
@@ -24,7 +26,7 @@ def kfold_positional_split(
     size = fold_size or max(1, math.ceil(df.count() / folds))
     sizes = [size * i for i in range(1, folds + 1 if fold_size else folds)]
     ends = cutoffs(df, order, sizes, rows_per_bucket=rows_per_bucket) if sizes else []
-    passed = [F.when(F.col(order) > F.lit(end), 1).otherwise(0) for end in ends if end is not None]
+    passed = [F.when(up_to(order, end), 0).otherwise(1) for end in ends if end is not None]
     fold = F.lit(1) + reduce(Column.__add__, passed, F.lit(0))
     return df.withColumn("fold", F.when(fold <= folds, fold))
 
@@ -51,8 +53,8 @@ def leave_n_out_split(
     is_test = F.col("_n").between(start, stop)
     if max_test > 0:
         tests = materialize(numbered.filter(is_test).select(order), "tests")
-        last = cutoff(tests, order, max_test)
-        is_test = is_test & (F.col(order) <= F.lit(last)) if last is not None else F.lit(False)
+        last = cutoff(tests, order, max_test, rows_per_bucket=min(rows_per_bucket, ROWS_PER_SEARCH))
+        is_test = is_test & F.coalesce(up_to(order, last), F.lit(False))
     return numbered.withColumn("is_test", is_test).drop("_n")
 
 
@@ -75,6 +77,11 @@ def hash_split(
     return df.filter(share < train), df.filter(share >= train)
 
 
+def united_folds(split: DataFrame) -> DataFrame:
+    """The rows of all folds of a labelled split, in one pass."""
+    return split.filter(F.col("fold").isNotNull()).drop("fold")
+
+
 def union_folds(*folds: DataFrame) -> DataFrame:
     """The full set out of disjoint folds."""
     return reduce(DataFrame.unionByName, folds)

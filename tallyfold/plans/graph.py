@@ -8,7 +8,7 @@ from tallyfold.operators import graph as G
 from tallyfold.plans.fixtures import Tables
 from tallyfold.plans.registry import query
 
-MOVIE, PERSON, OTHER = "red plate", "Customer#000000007", "Customer#000000008"
+MOVIE, PERSON = "red plate", "Customer#000000007"
 NEW_ID = 10_000_000_000
 
 
@@ -44,13 +44,18 @@ def graph_degree(t: Tables):
     return G.graph_degree(t.persons(), t["v_acted_in"], "name", PERSON)
 
 
-@query("graph_common_neighbors", f"""
-select m.title from v_acted_in a join v_acted_in b on a.dst = b.dst
-join v_person p on a.src = p.id join v_person q on b.src = q.id join v_movies m on a.dst = m.movie_id
-where p.name = '{PERSON}' and q.name = '{OTHER}'""")
+@query("graph_common_neighbors", """
+with c as (select dst, min(src) as one, max(src) as other from v_acted_in group by dst
+ having min(src) < max(src) order by dst limit 1)
+select m.title from c join v_acted_in a on a.src = c.one join v_acted_in b on b.src = c.other and a.dst = b.dst
+join v_movies m on a.dst = m.movie_id""")
 def graph_common_neighbors(t: Tables):
+    """Films of the first and last person of the first film that has two."""
+    cast = t["v_acted_in"].groupBy("dst").agg(F.min("src").alias("one"), F.max("src").alias("other"))
+    pair = cast.filter("one < other").orderBy("dst").first()
+    names = {r["id"]: r["name"] for r in t["v_person"].filter(F.col("id").isin(pair["one"], pair["other"])).collect()}
     return G.graph_common_neighbors(
-        t.persons(), t["v_acted_in"], t.movies(), "name", PERSON, OTHER, "title"
+        t.persons(), t["v_acted_in"], t.movies(), "name", names[pair["one"]], names[pair["other"]], "title"
     )
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators import words as W
-from tallyfold.plans.fixtures import TEXT, Tables
+from tallyfold.plans.fixtures import Tables
 from tallyfold.plans.registry import query
 from tallyfold.plans.text import TOKEN_SQL
-from tallyfold.session import scratch_path
+from tallyfold.session import materialize, scratch_path
 from tallyfold.sources.streams import stream_table, stream_text_dir
 from tallyfold.streaming import jobs as J
 from tallyfold.streaming import runner
@@ -23,9 +25,7 @@ def _stream(t: Tables, name: str) -> DataFrame:
     pattern = f"{t.sf_dir}/{{{name}.parquet}}"
     table = t.spark.read.parquet(t.path(name))
     stream = stream_table(t.spark, pattern, table.schema)
-    tasks = t.spark.sparkContext.defaultParallelism
-    few = name in TEXT and table.rdd.getNumPartitions() < tasks
-    return stream.repartition(tasks) if few else stream
+    return stream
 
 
 def _naive(df: DataFrame, *columns: str) -> DataFrame:
@@ -109,19 +109,25 @@ def stream_sliding_cond_count(t: Tables):
     return _naive(runner.run_append(counts, "sliding"), "start", "end")
 
 
-def arrival_chunks(t: Tables, view: str) -> str:
-    """Write arrivals as a few files in order of arrival; returns their folder.
+def in_chunks(t: Tables, view: str, run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``run(stream, root)`` once for each fifth of the arrivals, with one checkpoint.
 
-    One write per chunk, so that the modification times give the stream the order.
+    The arrivals are written once, each fifth to as many files as there are tasks; a run
+    starts after the files of its fifth have been moved to where the stream looks.
     """
-    folder = scratch_path(t.spark, "arrivals")
-    rows = t[view]
+    spark, folder, root = t.spark, scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "runs")
+    rows = materialize(t[view], "arrivals-in")
     last = rows.agg(F.max("arrival_seq").alias("last")).first()["last"]
-    size = last // ARRIVAL_CHUNKS + 1
+    chunk = F.floor(F.col("arrival_seq") / F.lit(last // ARRIVAL_CHUNKS + 1))
+    rows.withColumn("chunk", chunk).write.partitionBy("chunk").parquet(f"{folder}-written")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path(folder))
+    stream = stream_table(spark, f"{folder}/*", rows.schema)
     for i in range(ARRIVAL_CHUNKS):
-        part = rows.filter(F.col("arrival_seq").between(i * size, (i + 1) * size - 1))
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return folder
+        files.rename(path(f"{folder}-written/chunk={i}"), path(f"{folder}/part-{i}"))
+        result = run(stream, root)
+    return result
 
 
 @query("late_data_drop", f"""
@@ -129,22 +135,22 @@ with c as (select ts, arrival_seq // ((select max(arrival_seq) from v_late) // {
  from v_late),
 m as (select k, max(ts) as top from c group by k),
 marks as (select r.i as k, max(top) - interval '2 hours' as mark
- from range({ARRIVAL_CHUNKS}) r(i) left join m on m.k < r.i - 1 group by r.i)
+ from range({ARRIVAL_CHUNKS}) r(i) left join m on m.k < r.i group by r.i)
 select date_trunc('hour', ts)::timestamp as start, count(*) as n from c join marks on c.k = marks.k
 where mark is null or date_trunc('hour', ts)::timestamp + interval '1 hour' > mark group by 1
 having start + interval '1 hour' <= (select max(ts) from events) - interval '2 hours'""")
 def late_data_drop(t: Tables):
     """Hourly counts of the rows that a two-hour watermark lets through.
 
-    A micro-batch drops rows against the watermark that the batch before it had.
+    Each run goes on with the watermark at which the one before it stopped.
     """
-    folder = arrival_chunks(t, "v_late")
-    arrivals = J.event_time(stream_table(t.spark, folder, t["v_late"].schema, 1), "ts")
-    counts = arrivals.withWatermark("ts", "2 hours").groupBy(F.window("ts", "1 hour")).agg(
-        F.count("*").alias("n")
-    )
-    flat = counts.select(F.col("window.start").alias("start"), "n")
-    return _naive(runner.run_append(flat, "late"), "start")
+    def run(arrivals: DataFrame, root: str) -> DataFrame:
+        counts = J.event_time(arrivals, "ts").withWatermark("ts", "2 hours").groupBy(
+            F.window("ts", "1 hour")).agg(F.count("*").alias("n"))
+        flat = counts.select(F.col("window.start").alias("start"), "n")
+        return runner.run_append(flat, "late", root=root)
+
+    return _naive(in_chunks(t, "v_late", run), "start")
 
 
 @query("stream_out_of_order", """
@@ -152,9 +158,8 @@ select event_id, event_type, ts, previous_time from (select *, max(ts) over (
  partition by event_type order by arrival_seq rows between unbounded preceding and 1 preceding)
  as previous_time from v_arrivals) where ts < previous_time""")
 def stream_out_of_order_query(t: Tables):
-    folder = arrival_chunks(t, "v_arrivals")
-    arrivals = stream_table(t.spark, folder, t["v_arrivals"].schema, 1)
-    found = stream_out_of_order(arrivals, "ts", "arrival_seq", ["event_type"], compact_every=4)
+    found = in_chunks(t, "v_arrivals", lambda arrivals, root: stream_out_of_order(
+        arrivals, "ts", "arrival_seq", ["event_type"], compact_every=4, root=root))
     return found.select("event_id", "event_type", "ts", "previous_time")
 
 

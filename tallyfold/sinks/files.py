@@ -30,11 +30,16 @@ def append_jsonl_capped(
 ) -> None:
     """Append the unseen records of ``batch`` until the store holds ``cap_bytes``.
 
-    The store takes records in ``order``; ``order`` itself is not stored.
+    The store takes records in ``order``; ``order`` itself is not stored. A store that does
+    not exist yet is made.
     """
     spark = batch.sparkSession
-    stored = spark.read.schema(schema).json(path)
-    used = stored_bytes(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(folder):
+        stored, used = spark.read.schema(schema).json(path), stored_bytes(spark, path)
+    else:
+        stored, used = spark.createDataFrame([], schema), 0
     fresh = incremental_append(stored.select(key), batch, key, order)
     capped_rows(fresh, order, max(cap_bytes - used, 0)).drop(order).write.mode("append").json(path)
 

@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Bytes of files up to which ``spread`` deals rows out anew.
+SPREAD_BYTES = 64 << 20
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per text line, in column ``value``."""
     return spark.read.text(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a plain file scan over at least as many tasks as run at once.
+    """Rows of a small file scan over as many tasks as run at once.
 
-    Few or unsplittable files would leave the heavy per-row work to a few tasks. A
-    scan that has enough partitions, as any large table does, is left as it is.
+    One small file, which may hold a single row group, would leave the heavy work on each
+    row to one task. Above ``SPREAD_BYTES`` a scan is left as it is: it has splits
+    enough, so a large table is never shuffled for this.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+    return df.repartition(tasks) if size <= SPREAD_BYTES else df
 
 
 def read_csv(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tallyfold.operators.ordered import ROWS_PER_BUCKET, out_of_order
 from tallyfold.streaming.runner import BATCH, batch_folder, read_batches, run_batches
@@ -14,6 +16,7 @@ from tallyfold.streaming.runner import BATCH, batch_folder, read_batches, run_ba
 def stream_out_of_order(
     df: DataFrame, time: str, arrival: str, keys: Sequence[str] = (), out: str = "previous_time",
     rows_per_bucket: int = ROWS_PER_BUCKET, compact_every: int = 50, trigger: dict | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Rows that came after a row (of the same keys) with a later event time.
 
@@ -43,7 +46,7 @@ def stream_out_of_order(
             known = known_before(batch_id, root)
             if known is not None:
                 start = batch.agg(F.min(arrival) - 1).scalar()
-                touched = known.join(batch.select(*keys).distinct(), [*keys], "left_semi") if keys else known
+                touched = _of_keys(known, batch, keys) if keys else known
                 rows = batch.unionByName(touched.withColumn(arrival, start), allowMissingColumns=True)
                 if batch_id % compact_every == 0:
                     changed = latest(known.unionByName(changed))
@@ -53,6 +56,13 @@ def stream_out_of_order(
         finally:
             batch.unpersist()
 
-    root, done = run_batches(df, "arrivals", "append", each, trigger)
-    schema = df.schema.add(out, df.schema[time].dataType)
-    return read_batches(spark, f"{root}/found", schema, done).drop(BATCH)
+    root = run_batches(df, "arrivals", "append", each, trigger, root)
+    schema = StructType([*df.schema.fields, StructField(out, df.schema[time].dataType)])
+    return read_batches(spark, f"{root}/found", schema).drop(BATCH)
+
+
+def _of_keys(known: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state of the keys in a batch; a null key is a key."""
+    here = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return known.join(here, same, "left_semi")

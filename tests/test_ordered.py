@@ -159,3 +159,51 @@ def test_salted_lookup_keeps_every_row(spark):
     got = salted_lookup(rows, lookup, "k", "id", "n", "left", splits=16)
     want = rows.join(lookup.drop("n"), "k", "left").select("k", "id", "name")
     assert got.select("k", "id", "name").exceptAll(want).count() == 0 and got.count() == 9000
+
+
+@pytest.mark.parametrize("per_bucket", [5, 100, ordered.ROWS_PER_SEARCH])
+def test_null_order_keys_come_last_at_any_bucket_size(spark, per_bucket):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 100 != 7, F.col("id")).alias("o"), (F.col("id") % 4).cast("string").alias("user"),
+        F.lit("x").alias("t"))
+    assert ordered.first_n_records(df, "o", 50, per_bucket).count() == 50
+    assert ordered.first_n_records(df, "o", 995, per_bucket).count() == 990
+    assert ordered.first_n_records(df, "o", 1000, per_bucket).count() == 1000
+    line = len('{"user":"1","t":"x"}\n')
+    assert ordered.capped_rows(df, "o", 50 * line, rows_per_bucket=per_bucket).count() == 50
+    assert ordered.capped_rows(df, "o", 1000 * line, rows_per_bucket=per_bucket).count() == 1000
+    folds = splits.kfold_positional_split(df, "o", 5, rows_per_bucket=per_bucket)
+    assert dict(values(folds.groupBy("fold").count())) == {i: 200 for i in range(1, 6)}
+    left = splits.leave_n_out_split(df, "user", "o", 2, 4, 7, rows_per_bucket=per_bucket)
+    # Per user the second to fourth row, and the first seven of these along the order.
+    assert sorted(r["o"] for r in left.filter("is_test").collect()) == [4, 5, 6, 8, 9, 10, 11]
+    numbers = ordered.ordinal(df, "o", rows_per_bucket=per_bucket)
+    assert [r[0] for r in numbers.orderBy("ordinal").select("ordinal").collect()] == list(range(1, 1001))
+    assert numbers.filter("o is null").agg(F.min("ordinal")).first()[0] == 991
+
+
+def test_all_keys_null(rows):
+    df = rows("o long, t string", (None, "a"), (None, "b"))
+    assert ordered.first_n_records(df, "o", 1).count() == 0 and ordered.first_n_records(df, "o", 2).count() == 2
+    assert values(ordered.ordinal(df, "o"), "ordinal") == [(1,), (2,)]
+
+
+def test_buckets_split_what_doubles_and_seconds_cannot(spark):
+    df = spark.range(20_000).select(
+        (F.col("id") + F.lit(1 << 60)).alias("big"),
+        F.timestamp_micros(F.col("id")).cast("timestamp_ntz").alias("time"),
+        F.when(F.col("id") < 10_000, F.lit(-(1 << 63)) + F.col("id")).otherwise(F.lit((1 << 62)) + F.col("id") * 5000).alias("wide"))
+    for column in ("big", "time"):
+        assert ordered.bucketed(df, column, 1000).select("_bucket").distinct().count() >= 20
+    for column in ("big", "time", "wide"):
+        got = ordered.ordinal(df, column, rows_per_bucket=1000).select("ordinal").distinct()
+        assert got.count() == 20_000
+        wanted = sorted(r[0] for r in df.select(column).collect())[4320]
+        assert ordered.cutoff(df, column, 4321, rows_per_bucket=1000) == wanted
+
+
+def test_one_shuffle_without_a_hot_user(spark, capsys):
+    df = spark.range(60_000).select("id", (F.col("id") % 20_000).alias("user"))
+    numbered = ordered.ordinal(df, "id", ["user"])
+    numbered.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1

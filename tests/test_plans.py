@@ -12,7 +12,7 @@ PYTHON = {"extract_articles", "extract_links"}
 # Streams and model fits run while their frame is built; their inner plans are those of
 # the operators below.
 EAGER = {"late_data_drop", "multi_sink", "regress_tree", "classify_logistic", "classify_mlp",
-         "fallback_model", "corpus_report"} | {n for n in QUERIES if n.startswith("stream_")}
+         "fallback_model", "corpus_report", "append_jsonl_capped"} | {n for n in QUERIES if n.startswith("stream_")}
 
 
 def plan(df):
@@ -56,3 +56,18 @@ def test_first_records_are_filtered_in_the_scan(spark):
 
 def test_folds_do_not_move_rows(spark):
     assert "Exchange" not in plan(QUERIES["kfold_positional_split"](spark, SMALL))
+
+
+@pytest.mark.parametrize("name, most", [
+    ("union_years", 1), ("union_folds", 1), ("random_split", 1), ("kfold_positional_split", 1), ("graph_merge_edge", 4)])
+def test_tables_are_scanned_once(spark, name, most):
+    """Scans of the given tables; what a query has written itself is not counted."""
+    scans = [line for line in plan(QUERIES[name](spark, SMALL)).splitlines() if "FileScan" in line]
+    assert sum("testdata" in line for line in scans) <= most
+
+
+def test_no_text_is_dealt_anew_in_a_large_table(spark, monkeypatch):
+    from tallyfold.sources import files
+
+    monkeypatch.setattr(files, "SPREAD_BYTES", 0)
+    assert "Exchange" not in plan(QUERIES["extract_articles"](spark, SMALL))

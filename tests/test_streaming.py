@@ -139,6 +139,63 @@ def test_console(spark, rows, folder):
     runner.run_console(J.passthrough(S.stream_table(spark, folder(frame), frame.schema)))
 
 
+def test_runs_go_on_where_they_stopped(spark, rows, folder, tmp_path):
+    frame, root, out = rows("title string, n int", ("a", 1)), str(tmp_path / "root"), str(tmp_path / "csv")
+    more = rows("title string, n int", ("b", 2), ("c", 3))
+    lists = []
+    for part in (frame, more):
+        stream = S.stream_table(spark, folder(part), frame.schema)
+        rows_ = runner.run_append(stream, "x", "csv", root=root, path=out, sep=";")
+        log = runner.run_changelog(stream, "x", root=root + "-log")
+        last = runner.run_complete(stream.groupBy("title").count(), "x", root=root + "-complete")
+        sinks = runner.multi_sink(stream, [
+            runner.Sink("all", lambda b: b, "json", out + "-all"), ("few", lambda b: b.filter("n > 2"))],
+            root=root + "-sinks")
+        lists.append((values(rows_), values(log, "title"), values(last), values(sinks["all"]), values(sinks["few"])))
+    assert lists[0] == ([("a", 1)], [("a",)], [("a", 1)], [("a", 1)], [])
+    every = [("a", 1), ("b", 2), ("c", 3)]
+    assert lists[1] == (every, [("a",), ("b",), ("c",)], [(x, 1) for x in "abc"], every, [("c", 3)])
+    assert spark.read.option("sep", ";").csv(out).count() == 3
+    assert {r["batch"] for r in log.collect()} == {0, 1}
+
+
+def test_complete_mode_keeps_two_results(spark, rows, folder, tmp_path):
+    frames = [rows("value string", (f"w{i}",)) for i in range(5)]
+    stream = S.stream_table(spark, folder(*frames), frames[0].schema, 1)
+    assert runner.run_complete(stream.groupBy("value").count(), "x", root=str(tmp_path / "r")).count() == 5
+    assert len(runner.written_batches(spark, str(tmp_path / "r/out"))) == 2
+
+
+def test_branches_with_a_window(spark, rows, folder, tmp_path):
+    frame = rows("ts timestamp, content string, n int", (T0, "x", 1), (T0, "y", 200),
+                 (T0 + dt.timedelta(hours=1), "x", 300))
+    path = folder(frame)
+    source = lambda: S.stream_table(spark, path, frame.schema)
+    got = runner.run_all([
+        runner.Branch("print", source().select("content"), fmt="console"),
+        runner.Branch("large", source().filter("n > 100").select("n"), fmt="csv", path=str(tmp_path / "large")),
+        runner.Branch("windows", J.sliding_cond_counts(source(), "ts", "content", "%x%")),
+    ], root=str(tmp_path / "runs"))
+    assert values(got["large"]) == [(200,), (300,)] and (T0 in {r["start"] for r in got["windows"].collect()})
+
+
+def test_rolled_text_from_a_stream(spark, rows, folder, tmp_path):
+    frame = rows("value string", *[(f"line {i}",) for i in range(25)])
+    stream = S.stream_table(spark, folder(frame), frame.schema)
+    out = str(tmp_path / "rolled")
+    assert runner.run_append(stream, "x", "text", path=out, maxRecordsPerFile=10).count() == 25
+    files = [p for p in (tmp_path / "rolled").iterdir() if p.name.startswith("part")]
+    assert sorted(len(p.read_text().splitlines()) for p in files) == [5, 10, 10]
+
+
+def test_null_keys_keep_their_state(spark, rows, folder):
+    schema = "seq long, t long, key string"
+    frames = [rows(schema, (1, 5, None), (2, 9, "a")), rows(schema, (3, 4, None), (4, 8, "a"))]
+    stream = S.stream_table(spark, folder(*frames), frames[0].schema, 1)
+    got = stream_out_of_order(stream, "t", "seq", ["key"])
+    assert values(got, "seq") == values(out_of_order(frames[0].union(frames[1]), "t", "seq", ["key"]), "seq") == [(3,), (4,)]
+
+
 def test_event_time_is_an_instant(rows):
     df = rows("ts timestamp_ntz", (T0,))
     assert dict(J.event_time(df, "ts").dtypes) == {"ts": "timestamp"}
