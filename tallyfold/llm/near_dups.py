@@ -9,13 +9,16 @@ that bin alone (optimal densification). Bands of several bins are the buckets.
    fewer pairs than it has members.
 3. A pair is confirmed on the full sets of both texts.
 4. Confirmed links are joined to components. Buckets whose members are not yet in one component go
-   on, without the centre that all of them have met, with the node of most links as the next; until
-   each bucket is in one component or each of its pairs has been tried. So a chain of links
-   inside a bucket is found whole, and no bucket is cut short.
+   through two more rounds of stars: with a centre at random, another in each bucket, and with the
+   node of most links, so that a text near to many finds them.
+5. In buckets that are then still apart, the members outside of the largest component are compared
+   with all others by a byte of each bin, in blocks of bounded size; only pairs that agree in
+   about as many bins as similar texts must are confirmed. So no bucket is cut short.
 
-All steps are joins and combining aggregates; buckets are never collected. Two documents of
-similarity 0.8 miss each other in every bucket with a probability of (1 - 0.8**6)**40 = 5e-6, and
-more similar ones less.
+Buckets are never collected; all steps but the last are joins and combining aggregates. Two documents
+of similarity 0.8 miss each other in every bucket with a probability of (1 - 0.8**6)**40 = 5e-6, and
+more similar ones less. Step 5 passes over a pair of similarity 0.8 with a probability of about 0.001
+(0.85: 1e-5), if no star has tried it and nothing else joins its components.
 
 Defined cases: null and empty texts, and texts without words, have an empty set, are linked with
 nothing and are kept. A row with a null id is returned unlinked, with no component. Rows that share an
@@ -25,11 +28,13 @@ id are one document with several sets: a link of any of them counts for the id.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.words import SPACED_BYTES, hashed_words, mixed, slices, text_buffers
@@ -40,6 +45,12 @@ SHINGLE = 2
 SIMILAR = (80, 100)
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
+#: Members of a bucket, and members outside of its main component, that are compared in one block.
+ROW_BLOCK, ASKED_BLOCK = 4096, 256
+#: Standard deviations below the least similarity at which the bins of a pair may agree.
+SIGMAS = 3.0
+#: Hashes of sets that a task keeps while it confirms pairs.
+KEPT_HASHES = 1 << 21
 #: Bytes of text whose words are hashed at once.
 AT_ONCE = 4 << 20
 #: With so few filled bins each empty one looks at all of them, else it draws until it finds one.
@@ -90,12 +101,27 @@ def densified(distinct: np.ndarray) -> np.ndarray:
     return values
 
 
-def band_keys(distinct: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket for each band."""
-    rows = densified(distinct).reshape(BANDS, ROWS)
+def band_keys(bins: np.ndarray) -> np.ndarray:
+    """One 64-bit bucket for each band of ``densified`` bins."""
+    rows = bins.reshape(BANDS, ROWS)
     return mixed((mixed(rows * _WEIGHTS) * _WEIGHTS).sum(axis=1, dtype=np.uint64) + _BAND)
 
 
+def bin_bytes(bins: np.ndarray) -> np.ndarray:
+    """A byte of each bin; other bins share it once in 256 times."""
+    return mixed(bins).astype(np.uint8)
+
+
+def least_agreement(sizes: np.ndarray, similar=SIMILAR) -> np.ndarray:
+    """Bins that a similar pair agrees in, but for a chance of SIGMAS; by the size of the smaller set.
+
+    The bins of a small set hang together: there are only as many draws as it fills.
+    """
+    share = similar[0] / similar[1]
+    filled = BINS * (1 - (1 - 1 / BINS) ** sizes)
+    return BINS * (share - SIGMAS * np.sqrt(share * (1 - share) / filled))
+
+
 def distinct_shingles(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted set of each text."""
     for part in slices(column, AT_ONCE):
@@ -107,26 +133,31 @@ def distinct_shingles(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndar
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit digest of the set) and bands (null for empty sets)."""
+    """doc_id, n_shingles, set_key (128-bit digest of the set), bands and a byte for each bin.
+
+    The last three are null for an empty set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, keys, bands = [], [], []
+            counts, keys, bands, marks = [], [], [], []
             for one in distinct_shingles(batch.column(1), size):
                 counts.append(len(one))
+                bins = densified(one) if len(one) else None
                 keys.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None)
-                bands.append(band_keys(one).view(np.int64) if len(one) else None)
+                bands.append(band_keys(bins).view(np.int64) if len(one) else None)
+                marks.append(bin_bytes(bins).tobytes() if len(one) else None)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
-                pa.array(bands, pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "set_key", "bands"])
+                pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()),
+            ], names=["doc_id", "n_shingles", "set_key", "bands", "marks"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
+        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, marks binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
-    """The pairs a, b whose full sets are similar enough. ``texts``: node, text."""
+    """The pairs a, b and whether their full sets are similar enough. ``texts``: node, text."""
     at_least, of = similar
     both = (
         pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
@@ -135,18 +166,25 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, similar=S
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        held = 0
         for batch in batches:
             linked = []
-            for one, other in zip(
-                distinct_shingles(batch.column(2), size), distinct_shingles(batch.column(3), size),
-                strict=True,
-            ):
+            if held > KEPT_HASHES:
+                kept, held = {}, 0
+            # A centre's text comes with each of its pairs: its set is made once.
+            texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            new = [t for t in dict.fromkeys(itertools.chain(*texts)) if t not in kept]
+            for text, one in zip(new, distinct_shingles(pa.array(new, pa.string()), size), strict=True):
+                kept[text] = one
+                held += len(one)
+            for one, other in zip(map(kept.get, texts[0]), map(kept.get, texts[1]), strict=True):
                 common = len(np.intersect1d(one, other, assume_unique=True))
                 linked.append(of * common >= at_least * (len(one) + len(other) - common))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    return both.mapInArrow(run, "a bigint, b bigint, linked boolean").filter("linked").select("a", "b")
+    return both.mapInArrow(run, "a bigint, b bigint, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -157,17 +195,16 @@ def components(links: DataFrame) -> DataFrame:
     chain's length. A node of very many links is a combining minimum and a join that adaptive
     execution can split.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = materialize(edges, "edges"), None
+    edges, before = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), None
     while True:
         ways = edges.union(edges.select("v", "u"))
         least = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
         large = ways.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = materialize(large.filter("u != v").distinct(), "large-star")
+        large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("least"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         edges = materialize(
-            least.select("u", F.col("least").alias("v")).union(small.filter("u != v")).distinct(), "small-star")
+            least.select("u", F.col("least").alias("v")).union(small.filter("u != v")).distinct(), "stars")
         now = edges.agg(
             F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
             F.sum(F.col("v").cast("decimal(38,0)")).alias("s")).first()
@@ -175,7 +212,7 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = now
     stars = edges.withColumnsRenamed({"u": "node", "v": "component"})
-    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -183,22 +220,9 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     signed = materialize(signatures(docs, size), "signatures")
     shingled = signed.filter("set_key is not null and doc_id is not null")
     nodes = materialize(shingled.groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    # Rows of one id hang together even if their texts differ.
-    own = shingled.select("doc_id", "set_key").join(nodes, "set_key")
-    shared = (
-        own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-        .filter("a < b")
-    )
-    several = own.join(shared.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
-    links = materialize(several.filter("a != b").distinct(), "links")
-    links, found = _linked(docs, shingled, nodes, links, size)
-    if found is None:
-        found = components(links) if not links.isEmpty() else None
+    found = _linked(docs, shingled, nodes, _of_one_id(shingled, nodes), size)
     classed = signed.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
-    if found is not None:
-        classed = classed.join(found, "node", "left")
-    else:
-        classed = classed.withColumn("component", F.col("node"))
+    classed = classed.join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return classed.select(
         "doc_id", "n_shingles", component.alias("component_id"),
@@ -206,54 +230,154 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
+def _of_one_id(shingled: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links between the nodes of ids that have several sets; None where each id has one."""
+    several = shingled.groupBy("doc_id").agg(
+        F.min("set_key").alias("low"), F.max("set_key").alias("high")).filter("low < high")
+    several = materialize(several.select("doc_id"), "repeated-ids")
+    if several.isEmpty():
+        return None
+    own = materialize(
+        shingled.join(several, "doc_id").join(nodes, "set_key").select("doc_id", "node").distinct(), "own-nodes")
+    least = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return own.join(least, "doc_id").select("a", F.col("node").alias("b")).filter("a != b")
+
+
 def _linked(docs, shingled, nodes, links, size):
-    """All confirmed links of nodes, and the components they make (None if none was looked for)."""
+    """node, component of every node that stands in a bucket with another one."""
     at_least, of = SIMILAR
     members = (
         shingled.join(nodes, "set_key").filter("doc_id = node")
         .select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     )
-    crowded = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = materialize(
-        members.join(crowded.filter("low < high").select("bucket"), "bucket"), "members")
+    crowded = members.groupBy("bucket").agg(
+        F.min("node").alias("centre"), F.max("node").alias("high"), F.min_by("n", "node").alias("n_centre"))
+    # Written, so that the joins with it are of plain shuffles, whose skewed parts can be split.
+    centres = materialize(crowded.filter("centre < high").drop("high"), "centres")
+    members = materialize(members.join(centres.select("bucket"), "bucket"), "members")
+    alone = members.select("node").distinct()
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    texts = materialize(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
-    open_, found, tried = members, None, None
+    texts = materialize(texts.join(alone, "node", "left_semi"), "texts")
+    found = alone.withColumn("component", F.col("node"))
+    open_ = members.withColumn("component", F.col("node"))
+    if links is not None:
+        ends = links.select("a").union(links.select("b")).toDF("node").distinct()
+        found = found.union(ends.withColumn("component", F.col("node"))).distinct()
+        found = materialize(_relabelled(found, links), "components")
+        open_ = members.join(found, "node")
+    centres = centres.withColumn("component_centre", F.lit(None).cast("long"))
+    tried, turn = None, 0
     while True:
-        # The centre has the most links so far; at first the smallest id.
-        if found is None:
-            centres = open_.groupBy("bucket").agg(F.min("node").alias("centre"))
-        else:
-            ends = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other")
-            degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
-            centres = (
-                open_.join(degrees, "node", "left")
-                .groupBy("bucket").agg(F.max(F.struct(
-                    F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("node")).alias("down"))).alias("top"))
-                .select("bucket", (-F.col("top.down")).alias("centre"))
-            )
-        stars = open_.join(centres, "bucket")
-        hubs = stars.filter("node = centre").select(
-            "bucket", F.col("n").alias("n_centre"), *(
-                [F.col("component").alias("component_centre")] if found is not None else []))
-        rays = stars.filter("node != centre").join(hubs, "bucket")
         # A set of less than 4/5 of another's size cannot reach the similarity.
-        rays = rays.filter(of * F.least("n", "n_centre") >= at_least * F.greatest("n", "n_centre"))
-        if found is not None:
-            rays = rays.filter("component != component_centre")
+        rays = open_.join(centres, "bucket").filter(
+            (F.col("node") != F.col("centre")) & ~F.col("component").eqNullSafe(F.col("component_centre"))
+        ).filter(of * F.least("n", "n_centre") >= at_least * F.greatest("n", "n_centre"))
         pairs = rays.select(
             F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        new = materialize(confirmed(pairs, texts, size), "links")
-        links = links.union(new)
-        found = materialize(components(links), "components")
-        rest = stars.filter("node != centre").select("bucket", "node", "n")
-        rest = rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        seen = materialize(confirmed(pairs, texts, size), "tried")
+        tried = seen if tried is None else tried.union(seen)
+        new = seen.filter("linked")
+        if not new.isEmpty():
+            found = materialize(_relabelled(found, new), "components")
+        # Centres have met all others of their buckets; what is left goes on where it is not yet one.
+        rest = open_.select("bucket", "node", "n").join(
+            centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+        rest = materialize(rest.join(found, "node").join(sizes, "component"), "rest")
         apart = rest.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        open_ = materialize(rest.join(apart.select("bucket"), "bucket"), "open-buckets")
-        if open_.isEmpty():
-            return links, found
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"),
+            F.max(F.struct("size", "component"))["component"].alias("main")).filter("low < high")
+        apart = materialize(apart.select("bucket", "rows", "main"), "apart")
+        if apart.isEmpty():
+            return found
+        open_ = rest.join(apart, "bucket")
+        turn += 1
+        if turn > 2:
+            break
+        centres = materialize(_centres(open_, tried, turn), "centres")
+        open_ = open_.drop("rows", "main", "size")
+    marks = shingled.join(nodes, "set_key").filter("doc_id = node").select("node", "marks")
+    pairs = _agreeing(open_, marks).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    new = materialize(confirmed(pairs, texts, size).filter("linked"), "last-links")
+    return found if new.isEmpty() else materialize(_relabelled(found, new), "components")
+
+
+def _centres(open_: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """The next centre of each bucket: bucket, centre, n_centre, component_centre.
+
+    First one at random, another in each bucket, so that a text near to many is found out by its links;
+    then the one of most links.
+    """
+    random = F.xxhash64("node", "bucket")
+    if turn == 1:
+        chosen, rank = open_, F.struct(random)
+    else:
+        chosen = open_.join(_degrees(tried), "node", "left")
+        rank = F.struct(F.coalesce("degree", F.lit(0)), random)
+    top = F.max(F.struct(rank.alias("rank"), "node", "n", "component")).alias("top")
+    return chosen.groupBy("bucket").agg(top).select(
+        "bucket", F.col("top.node").alias("centre"), F.col("top.n").alias("n_centre"),
+        F.col("top.component").alias("component_centre"))
+
+
+def _agreeing(open_: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs a, b of one bucket and different components that agree in enough bins.
+
+    Members outside of a bucket's main component (asked) meet all its members, block by block; the
+    main component's own members are not compared with each other.
+    """
+    known = materialize(open_.join(marks, "node"), "marked")
+    asked = known.filter("component != main")
+    counts = materialize(asked.groupBy("bucket").agg(F.count("*").alias("n_asked")), "asked")
+    row_blocks = F.ceil(F.col("rows") / F.lit(ROW_BLOCK)).cast("int")
+    asked_blocks = F.ceil(F.col("n_asked") / F.lit(ASKED_BLOCK)).cast("int")
+
+    def dealt(rows: DataFrame, own: str, blocks: Column, other: str, others: Column) -> DataFrame:
+        placed = rows.join(counts, "bucket").withColumn(own, F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        copies = placed.withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
+        # New names of the same columns: both sides come from one table.
+        return copies.select(*[
+            F.col(c).alias(c) for c in ("bucket", "row_block", "asked_block", "node", "n", "component", "marks")])
+
+    keys = ["bucket", "row_block", "asked_block"]
+    left = dealt(known, "row_block", row_blocks, "asked_block", asked_blocks).groupBy(*keys)
+    right = dealt(asked, "asked_block", asked_blocks, "row_block", row_blocks).groupBy(*keys)
+    return left.cogroup(right).applyInPandas(_block_pairs, "a bigint, b bigint").distinct()
+
+
+def _block_pairs(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    at_least, of = SIMILAR
+    out = []
+    if len(rows) and len(asked):
+        matrix = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), BINS)
+        ids, sizes, parts = (rows[c].to_numpy() for c in ("node", "n", "component"))
+        for node, n, part, raw in zip(
+            asked["node"].to_numpy(), asked["n"].to_numpy(), asked["component"].to_numpy(), asked["marks"], strict=True):
+            agree = (matrix == np.frombuffer(raw, np.uint8)).sum(axis=1)
+            low, high = np.minimum(sizes, n), np.maximum(sizes, n)
+            near = ids[(parts != part) & (of * low >= at_least * high) & (agree >= least_agreement(low))]
+            out.append(np.stack((np.minimum(near, node), np.maximum(near, node)), axis=1))
+    pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _degrees(tried: DataFrame) -> DataFrame:
+    links = tried.filter("linked")
+    ends = links.select("a").union(links.select("b")).toDF("node")
+    return ends.groupBy("node").agg(F.count("*").alias("degree"))
+
+
+def _relabelled(found: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component after new links: only the components that they touch are joined anew."""
+    left = found.select(F.col("node").alias("a"), F.col("component").alias("u"))
+    right = found.select(F.col("node").alias("b"), F.col("component").alias("v"))
+    merged = links.select("a", "b").join(left, "a").join(right, "b").select(
+        F.col("u").alias("a"), F.col("v").alias("b")).filter("a != b").distinct()
+    merged = materialize(merged, "merges")
+    if merged.isEmpty():
+        return found
+    moved = components(merged).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return found.join(moved, "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component"))
