@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tallyfold.llm.frames import room_for
+from tallyfold.llm.frames import bounded_sample, room_for
 from tallyfold.llm.words import SPACED_BYTES, hashed_words, mixed, slices, text_buffers
 
 FEATURES = (
@@ -236,10 +236,9 @@ def train(measured: DataFrame, labels: DataFrame, target: str = "quality", sampl
     depend on how they are stored.
     """
     labelled = labels.filter(F.col(target).isNotNull() & ~held_out("doc_id")).select("doc_id", F.col(target).alias("_label"))
-    rows = (
-        measured.select("doc_id", "features").join(labelled, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "_label", "features").limit(sample).toPandas()
-    )
+    rows = bounded_sample(
+        measured.select("doc_id", "features").join(labelled, "doc_id"), sample, "doc_id", "_label", "features"
+    ).toPandas()
     if not len(rows):
         return fitted(np.empty((0, len(FEATURES))), np.empty(0))
     return fitted(np.stack(rows["features"].to_list()), rows["_label"].to_numpy(float))
