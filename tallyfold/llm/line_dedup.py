@@ -131,7 +131,9 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     kept, _ = room_for(docs, "removed int, _row int, _spans int")
     rows = kept.withColumn("_row", F.xxhash64("doc_id", "text"))
     chunks = materialize(chunk_hashes(rows), "chunks")
-    repeated = chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    # Written, so that the join below is one of plain shuffles, whose skewed parts can be split.
+    repeated = materialize(
+        chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeated")
     places = materialize(chunks.join(repeated, "hash").select(*CHUNK_FIELDS), "places")
     lists = _lists(places, "start", "end", "hash")
     read = chunk_bytes(rows.join(lists, _same_row(rows, lists)).drop(lists["_row"], lists["doc_id"]))
