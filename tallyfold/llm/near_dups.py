@@ -12,8 +12,9 @@ that bin alone (optimal densification). Bands of several bins are the buckets.
    through two more rounds of stars: with a centre at random, another in each bucket, and with the
    node of most links, so that a text near to many finds them.
 5. In buckets that are then still apart, the members outside of the largest component are compared
-   with all others by a byte of each bin, in blocks of bounded size; only pairs that agree in
-   about as many bins as similar texts must are confirmed. So no bucket is cut short.
+   with all others by a byte of each bin, in blocks of bounded size; pairs that agree in about as
+   many bins as similar texts must are confirmed, until their components are linked. So no
+   bucket is cut short.
 
 Buckets are never collected; all steps but the last are joins and combining aggregates. Two documents
 of similarity 0.8 miss each other in every bucket with a probability of (1 - 0.8**6)**40 = 5e-6, and
@@ -298,9 +299,8 @@ def _linked(docs, shingled, nodes, links, size):
             break
         centres = materialize(_centres(open_, tried, turn), "centres")
         open_ = open_.drop("rows", "main", "size")
-    marks = shingled.join(nodes, "set_key").filter("doc_id = node").select("node", "marks")
-    pairs = _agreeing(open_, marks).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    new = materialize(confirmed(pairs, texts, size).filter("linked"), "last-links")
+    facts = shingled.join(nodes, "set_key").filter("doc_id = node").select("node", "bands", "marks")
+    new = materialize(_block_links(open_, facts.dropDuplicates(["node"]), texts, size), "last-links")
     return found if new.isEmpty() else materialize(_relabelled(found, new), "components")
 
 
@@ -322,13 +322,13 @@ def _centres(open_: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
         F.col("top.component").alias("component_centre"))
 
 
-def _agreeing(open_: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs a, b of one bucket and different components that agree in enough bins.
+def _block_links(open_: DataFrame, facts: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Links a, b between members of one bucket that are in different components.
 
     Members outside of a bucket's main component (asked) meet all its members, block by block; the
     main component's own members are not compared with each other.
     """
-    known = materialize(open_.join(marks, "node"), "marked")
+    known = materialize(open_.join(facts, "node").join(texts, "node"), "marked")
     asked = known.filter("component != main")
     counts = materialize(asked.groupBy("bucket").agg(F.count("*").alias("n_asked")), "asked")
     row_blocks = F.ceil(F.col("rows") / F.lit(ROW_BLOCK)).cast("int")
@@ -338,28 +338,50 @@ def _agreeing(open_: DataFrame, marks: DataFrame) -> DataFrame:
         placed = rows.join(counts, "bucket").withColumn(own, F.pmod(F.xxhash64("node"), blocks).cast("int"))
         copies = placed.withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
         # New names of the same columns: both sides come from one table.
-        return copies.select(*[
-            F.col(c).alias(c) for c in ("bucket", "row_block", "asked_block", "node", "n", "component", "marks")])
+        return copies.select(*[F.col(c).alias(c) for c in (
+            "bucket", "row_block", "asked_block", "node", "n", "component", "bands", "marks", "text")])
+
+    def linked(rows: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
+        return block_links(rows, some, size)
 
     keys = ["bucket", "row_block", "asked_block"]
     left = dealt(known, "row_block", row_blocks, "asked_block", asked_blocks).groupBy(*keys)
     right = dealt(asked, "asked_block", asked_blocks, "row_block", row_blocks).groupBy(*keys)
-    return left.cogroup(right).applyInPandas(_block_pairs, "a bigint, b bigint").distinct()
+    return left.cogroup(right).applyInPandas(linked, "a bigint, b bigint").distinct()
+
 
+def block_links(rows: pd.DataFrame, asked: pd.DataFrame, size: int) -> pd.DataFrame:
+    """For each asked member a confirmed link to each other component in the block that has one.
 
-def _block_pairs(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    Candidates agree in enough bins; they are confirmed on the full sets, those that agree most
+    first, until their component is linked. A pair is looked at only in the first of the buckets that both
+    are in.
+    """
     at_least, of = SIMILAR
-    out = []
+    out: list[tuple[int, int]] = []
     if len(rows) and len(asked):
         matrix = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), BINS)
+        bands = np.stack(rows["bands"].to_list())
         ids, sizes, parts = (rows[c].to_numpy() for c in ("node", "n", "component"))
-        for node, n, part, raw in zip(
-            asked["node"].to_numpy(), asked["n"].to_numpy(), asked["component"].to_numpy(), asked["marks"], strict=True):
-            agree = (matrix == np.frombuffer(raw, np.uint8)).sum(axis=1)
+        sets = list(distinct_shingles(pa.array(rows["text"], pa.string()), size))
+        theirs = distinct_shingles(pa.array(asked["text"], pa.string()), size)
+        bucket = rows["bucket"].iloc[0]
+        columns = (asked["node"], asked["n"], asked["component"], asked["bands"], asked["marks"], theirs)
+        for node, n, part, keys, raw, one in zip(*columns, strict=True):
             low, high = np.minimum(sizes, n), np.maximum(sizes, n)
-            near = ids[(parts != part) & (of * low >= at_least * high) & (agree >= least_agreement(low))]
-            out.append(np.stack((np.minimum(near, node), np.maximum(near, node)), axis=1))
-    pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+            same = bands == keys
+            agree = (matrix == np.frombuffer(raw, np.uint8)).sum(axis=1)
+            near = np.flatnonzero(
+                (parts != part) & (of * low >= at_least * high) & (agree >= least_agreement(low))
+                & (np.asarray(keys)[same.argmax(axis=1)] == bucket))
+            reached: set[int] = set()
+            for at in near[np.argsort(-agree[near], kind="stable")].tolist():
+                if parts[at] not in reached:
+                    common = len(np.intersect1d(one, sets[at], assume_unique=True))
+                    if of * common >= at_least * (len(one) + len(sets[at]) - common):
+                        reached.add(parts[at])
+                        out.append((min(node, ids[at]), max(node, ids[at])))
+    pairs = np.array(out, np.int64).reshape(-1, 2)
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
