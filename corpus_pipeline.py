@@ -39,9 +39,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without blocks of lines that stand in an earlier document.
 
-    A document all of whose lines go is a copy, and goes too.
+    A document all of whose lines go is a copy, and goes too. Texts of one line are left to the next stage.
     """
-    left = line_dedup.without_repeated_lines(packed(docs))
+    left = line_dedup.without_repeated_lines(packed(docs), one_line=False)
     changed = F.size("removed") > 0
     emptied = F.coalesce(changed & (F.trim("text") == ""), F.lit(False))
     return unpacked(left.filter(~emptied), docs.columns, changed)

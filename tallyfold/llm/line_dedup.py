@@ -1,23 +1,30 @@
-"""Removal of repeated blocks of lines by content-defined chunks.
+"""Removal of repeated blocks of lines, found by every short run of them.
 
-A text is cut at line feeds, and runs of lines are cut into chunks where a rolling hash over the
-last lines' hashes meets a condition. Boundaries depend on the lines around them only, so a
-block that stands in two texts is cut alike inside whatever comes before it. A chunk of at least two
-lines that are not blank, found more than once in the corpus, is kept where it comes first (least
-doc_id, then position) and removed elsewhere.
+A text is cut at line feeds. Every run of two lines that are not blank, with the blank ones between, and
+every line of at least 50 words is a block; one found more than once in the corpus is kept where it
+comes first (least doc_id, then position) and removed elsewhere. A longer repeat is the union of the
+runs in it, so it is found wherever it begins and ends. Blank lines around a repeat belong to no run; those at
+the ends of a text go with its first and last run, and those at the ends of a content-defined chunk
+(runs of lines cut where a rolling hash over the last lines meets a condition) with the chunk.
 
-Repeats are found by a 64-bit hash, then confirmed by the bytes: only chunks whose hash repeats are read
-again and grouped by hash and bytes. Counts and first places are combined in each task, so a chunk in
+A block may overlap others, so the first place of one can lose lines that stand in an earlier other one;
+the first of all equal lines always stays. A run that overlaps an equal one, as where a line stands three
+times, is no copy of that one.
+
+Repeats are found by a 64-bit hash, then confirmed by the bytes: only blocks whose hash repeats are read
+again and grouped by hash and bytes. Counts and first places are combined in each task, so a block in
 a third of all texts is one row a task.
 
-Defined cases: null stays null and an empty text empty; texts of one line are left alone; a line
-goes with its line feed, and a text all of whose lines go is empty. Rows with a null id come after all others. Rows
-equal in id and text are treated alike: all keep their chunks if one of them holds the first place.
+Defined cases: null stays null and an empty text empty; a line goes with its line feed, and a text all of
+whose lines go is empty, also one of a single long line unless ``one_line`` is false. Shorter lines with no
+repeated neighbour are left alone. Rows with a null id come after all others. Rows
+equal in id and text are treated alike: all keep their blocks if one of them holds the first place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -32,6 +39,8 @@ WINDOW = 2
 #: One boundary for so many lines, by chance.
 DIVISOR = 2
 LEAST_LINES, MOST_LINES = 2, 64
+#: A line of so many words is a block by itself.
+LONG_WORDS = 50
 CHUNK_FIELDS = ["_row", "doc_id", "start", "end", "hash"]
 CHUNKS = ", ".join(f"{name} bigint" for name in CHUNK_FIELDS)
 
@@ -62,18 +71,40 @@ def line_chunks(
         yield start, len(lines)
 
 
+def _runs(lines: list[bytes], filled: list[int]) -> Iterator[tuple[int, int]]:
+    """First line and end of each run of two of the lines ``filled``.
+
+    Where one line stands three times or more, the second run overlaps the first one and is no copy of it:
+    the first three lines stand for it.
+    """
+    pairs = [(i, j + 1, lines[i:j + 1]) for i, j in pairwise(filled)]
+    nth = 0
+    for k, (start, end, run) in enumerate(pairs):
+        nth = nth + 1 if k and run == pairs[k - 1][2] else 0
+        yield (pairs[k - 1][0] if nth == 1 else start), end
+
+
 def _chunked(text: str | None) -> Iterator[tuple[int, int, bytes]]:
-    """First line, end and bytes of the chunks that may be removed."""
-    if text is None or "\n" not in text:
+    """First line, end and bytes of the blocks that may be removed, in order."""
+    if text is None:
         return
     lines = text.encode().split(b"\n")
-    for start, end in line_chunks(lines):
-        if sum(1 for line in lines[start:end] if line.strip()) >= 2:
-            yield start, end, b"\n".join(lines[start:end])
+    filled = [i for i, line in enumerate(lines) if line.strip()]
+    spans = {(i, i + 1) for i in filled if len(lines[i].split()) >= LONG_WORDS}
+    spans.update(_runs(lines, filled))
+    if 2 <= len(filled) < len(lines):
+        spans |= {(0, filled[1] + 1), (filled[-2], len(lines))}
+        blank = set(range(len(lines))).difference(filled)
+        spans.update(
+            (start, end) for start, end in line_chunks(lines)
+            if (start in blank or end - 1 in blank)
+            and sum(1 for i in range(start, end) if i not in blank) >= 2)
+    for start, end in sorted(spans):
+        yield start, end, b"\n".join(lines[start:end])
 
 
 def chunk_hashes(rows: DataFrame) -> DataFrame:
-    """_row, doc_id, start, end (lines) and hash of every chunk of several lines."""
+    """_row, doc_id, start, end (lines) and hash of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +120,7 @@ def chunk_hashes(rows: DataFrame) -> DataFrame:
 
 
 def chunk_bytes(rows: DataFrame) -> DataFrame:
-    """The chunks listed in ``_spans`` with their bytes."""
+    """The blocks listed in ``_spans`` with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,14 +148,15 @@ def _same_row(one: DataFrame, other: DataFrame) -> Column:
 
 
 def _lists(chunks: DataFrame, *fields: str) -> DataFrame:
-    """The chunks of each row in one list, as long as its text has chunks."""
+    """The blocks of each row in one list, as long as its text has blocks."""
     return chunks.groupBy("_row", "doc_id").agg(
         F.sort_array(F.collect_set(F.struct(*fields))).alias("_spans"))
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, one_line: bool = True) -> DataFrame:
     """``docs`` with the text left and ``removed``, the line spans (start, end) taken out.
 
+    Spans may overlap. Without ``one_line``, texts of one line stay, though other texts lose that line.
     The texts are shuffled once, by row; both joins read that shuffle. Columns named removed, _row
     and _spans are replaced or dropped.
     """
@@ -137,14 +169,17 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     places = materialize(chunks.join(repeated, "hash").select(*CHUNK_FIELDS), "places")
     lists = _lists(places, "start", "end", "hash")
     read = chunk_bytes(rows.join(lists, _same_row(rows, lists)).drop(lists["_row"], lists["doc_id"]))
-    # Grouped by their bytes: the first place of each chunk, of which there is one for each hash
-    # unless two chunks share it.
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "start", "_row")
+    # Grouped by their bytes: the first place of each block, of which there is one for each hash
+    # unless two blocks share it.
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "start", "_row", "end")
     firsts = read.groupBy("hash", "raw").agg(F.min(order).alias("first")).select("first.*")
     others = places.join(
-        firsts, _same_row(places, firsts) & (places["start"] == firsts["start"]), "left_anti")
+        firsts, _same_row(places, firsts) & (places["start"] == firsts["start"])
+        & (places["end"] == firsts["end"]), "left_anti")
     gone = _lists(others, "start", "end")
     joined = rows.join(gone, _same_row(rows, gone), "left").drop(gone["_row"], gone["doc_id"])
+    if not one_line:
+        joined = joined.withColumn("_spans", F.when(F.col("text").contains("\n"), F.col("_spans")))
     kept = F.array_join(F.filter(
         F.split("text", "\n", -1),
         lambda line, i: ~F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["end"]))), "\n")

@@ -70,3 +70,33 @@ def test_odd_rows(odd):
     assert texts[1] is None and texts[2] == "" and texts[4] == LONG and texts[8] == "a\nb\nc\nd\ne\nf"
     assert texts[9] == brute([(8, texts[8]), (9, texts[8])])[9] != texts[8]
     assert d.without_repeated_lines(odd.limit(0)).count() == 0
+
+
+def test_short_blocks_go_wherever_they_stand(documents):
+    """Each line of a run of 2 to 8 lines that stands in an earlier text, between other lines."""
+    def block(n):
+        return [f"block {n} line {k}" for k in range(n)]
+
+    docs = [(i * 10 + n, "\n".join([f"a{i} {n}", f"b{i} {n}", *block(n), f"c{i} {n}", f"d{i} {n}"]))
+            for i in range(3) for n in range(2, 9)]
+    found = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents(*docs)).collect()}
+    for i in range(3):
+        for n in range(2, 9):
+            own = [f"a{i} {n}", f"b{i} {n}", *(block(n) if i == 0 else []), f"c{i} {n}", f"d{i} {n}"]
+            assert found[i * 10 + n] == "\n".join(own)
+
+
+def test_long_single_lines_go(documents):
+    long, short = " ".join(f"w{k}" for k in range(50)), " ".join(f"w{k}" for k in range(49))
+    docs = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, f"e\n{short}\nf"), (5, f"g\n{short}\nh")]
+    found = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents(*docs)).collect()}
+    assert found == {**dict(docs), 2: "c\nd", 3: ""}
+    found = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents(*docs), one_line=False).collect()}
+    assert found == {**dict(docs), 2: "c\nd"}
+
+
+def test_first_places_stay_and_blank_ends_go(documents):
+    docs = [(1, "x\nx\nx"), (2, "x\nx\nx\nx\nx"), (3, "y\nx\nx\nx\nz"),
+            (4, "\np\n\nq\n\n"), (5, "\np\n\nq\n\n"), (6, "r\np\n\nq\ns"), (7, "t\nt\nt\nt")]
+    found = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents(*docs)).collect()}
+    assert found == {**dict(docs), 2: "", 3: "y\nz", 5: "", 6: "r\ns", 7: "t\nt"}
