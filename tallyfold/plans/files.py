@@ -12,6 +12,9 @@ from tallyfold.sources import files as sources
 
 _ORDERS = "o_orderkey long, o_custkey long, o_orderpriority string"
 _SQL = "select o_orderkey, o_custkey, o_orderpriority from orders"
+#: Rows of one JSON array, a power of two: the number of files grows with the table, their size does not.
+ARRAY_BITS = 12
+ARRAY_ROWS = 1 << ARRAY_BITS
 
 
 def _orders(t: Tables):
@@ -58,10 +61,11 @@ def read_jsonl(t: Tables):
 
 @query("read_json_array", _SQL)
 def read_json_array(t: Tables):
-    """Each file holds one array: the orders of one customer key in a thousand."""
+    """Each file holds one array of at most ``ARRAY_ROWS`` orders, whatever their keys."""
     folder = scratch_path(t.spark, "arrays")
-    part = F.pmod("o_custkey", F.lit(1000))
-    arrays = _orders(t).groupBy(part.alias("part")).agg(F.to_json(F.collect_list(
+    # Ids count up within a partition of the scan, and begin anew at a multiple of 2**33.
+    part = F.shiftright(F.monotonically_increasing_id(), ARRAY_BITS)
+    arrays = _orders(t).withColumn("part", part).groupBy("part").agg(F.to_json(F.collect_list(
         F.struct("o_orderkey", "o_custkey", "o_orderpriority"))).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
     return sources.read_json_array(t.spark, folder, _ORDERS)

@@ -2,7 +2,10 @@ import json
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
+from tallyfold.plans import REGISTRY
+from tallyfold.plans.files import ARRAY_ROWS
 from tallyfold.session import materialize, scratch_path
 from tallyfold.sinks import files as K
 from tallyfold.sources import files as S
@@ -50,6 +53,18 @@ def test_json(spark, text):
     assert values(S.read_json_array(spark, array, schemas.ARTICLE), "url") == [("u",), ("v",)]
 
 
+def test_json_arrays_are_of_bounded_size(spark, tmp_path):
+    """All orders of one customer, some without a key or equal."""
+    orders = spark.range(10_000, numPartitions=1).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("o_orderkey"), F.lit(7).cast("long").alias("o_custkey"),
+        F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = REGISTRY["read_json_array"](spark, str(tmp_path))
+    files = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert sum(files) == 10_000 and len(files) >= 3 and max(files) <= ARRAY_ROWS
+    assert found.exceptAll(orders).isEmpty()
+
+
 def test_lines_and_collection(spark, text):
     assert values(S.read_lines(spark, text("x.txt", "a\n\nb"))) == [("",), ("a",), ("b",)]
     assert values(S.from_collection(spark, iter([("a",)]), "value string")) == [("a",)]
