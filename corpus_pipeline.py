@@ -9,6 +9,9 @@ from tallyfold.llm import bpe, decontaminate, line_dedup, near_dups, quality, qu
 from tallyfold.llm.frames import quoted
 from tallyfold.session import materialize
 
+#: Words of a shingle of the near-duplicate stage; op7 takes two by its own contract.
+SHINGLE = 5
+
 
 def packed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and all columns but the text as one, out of the way of an operator's own."""
@@ -48,8 +51,8 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each class of near-duplicates."""
-    classes = near_dups.near_duplicate_classes(docs)
+    """One document, the smallest id, of each class of near-duplicates on 5-word shingles."""
+    classes = near_dups.near_duplicate_classes(docs, size=SHINGLE)
     others = classes.filter("not kept").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti")
 

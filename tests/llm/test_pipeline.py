@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import corpus_pipeline as p
 import pytest
 from conftest import SMALL
@@ -40,6 +42,38 @@ def test_stages_decide_and_keep_clean_documents(spark, planted):
     assert len(last) == len(texts) and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in last)
 
 
+def least_of_classes(docs):
+    """Documents that are the smallest id of their class on sets of five words at 0.8."""
+    sets, root = {}, {doc: doc for doc, _ in docs}
+    for doc, text in docs:
+        said = (text or "").lower().split()
+        sets[doc] = {tuple(said[i:i + 5]) for i in range(max(len(said) - 4, 1))} if said else set()
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(sorted(sets), 2):
+        s, t = sets[a], sets[b]
+        if s and t and 100 * len(s & t) >= 80 * len(s | t):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {doc for doc in root if find(doc) == doc}
+
+
+def test_near_duplicates_take_five_words(spark, documents):
+    small = [(r["doc_id"], r["text"]) for r in queries.table(spark, SMALL, "documents").collect()]
+    one = [f"s{k}" for k in range(60)]
+    # Two words of sixty changed: 0.87 on two words, 0.70 on five; at the end 0.93 and 0.87.
+    inside = [f"t{k}" if k in (20, 40) else w for k, w in enumerate(one)]
+    at_end = one[:58] + ["u1", "u2"]
+    docs = [*small, (10**9, " ".join(one)), (10**9 + 1, " ".join(inside)), (10**9 + 2, " ".join(at_end))]
+    left = {r["doc_id"] for r in p.one_of_each(spark, documents(*docs), SMALL).collect()}
+    assert left == least_of_classes(docs)
+    assert left >= {10**9, 10**9 + 1} and 10**9 + 2 not in left and len(left) < len(docs) - 1
+
+
 def test_run_on_the_small_tables(spark):
     out = p.run(spark, SMALL)
     assert 0 < out.count() < 200 and out.filter("not round_trip").count() == 0
