@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    bpe, decontaminate, html_text, licenses, line_dedup, near_dups, neighbours, quality, sharding,
+    bpe, collocations, decontaminate, html_text, licenses, line_dedup, near_dups, neighbours, quality, sharding,
     url_filter,
 )
 from tallyfold.session import materialize
@@ -185,3 +185,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(docs).select(
         "doc_id", F.try_element_at("licenses", F.lit(1))["license_id"].alias("license_id"),
         F.try_element_at("licenses", F.lit(1))["coverage"].alias("coverage"), "licenses")
+
+
+OP13_SQL = r"""with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+grams as (select lang, size, array_to_string(list_slice(w, s, s + size - 1), ' ') as phrase from (
+ select lang, w, size, unnest(range(1, len(w) - size + 2)) as s from w, (select unnest([1, 2, 3]) as size) where len(w) >= size)),
+f as (select lang, size, phrase, count(*) as a from grams group by all having count(*) >= 10),
+words as (select *, string_split(phrase, ' ') as w from f where size > 1),
+cuts as (select c.*, array_to_string(list_slice(w, 1, k), ' ') as x, array_to_string(list_slice(w, k + 1, size), ' ') as y
+ from (select *, unnest(range(1, size)) as k from words) c),
+scored as (select c.lang, c.size, c.phrase, c.a, k, x.a as l, y.a as r, cast((1000000::hugeint * c.a * c.a) // (x.a::hugeint * y.a) as bigint) as score
+ from cuts c join f x on x.lang = c.lang and x.phrase = c.x join f y on y.lang = c.lang and y.phrase = c.y),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+held as (select lang, phrase, max(a) as most from (
+ select lang, array_to_string(list_slice(w, s, s + 1), ' ') as phrase, a from (
+  select *, unnest([1, 2]) as s from words where size = 3)) group by all),
+own as (select x.* from lowest x left join held h on h.lang = x.lang and h.phrase = x.phrase
+ where h.most is null or 100 * h.most < 50 * x.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from own join totals using (lang) qualify rank <= 2000"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of two to three words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
