@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import (
     bpe, collocations, decontaminate, html_text, licenses, line_dedup, near_dups, neighbours, quality, sharding,
-    url_filter,
+    url_filter, warc,
 )
-from tallyfold.session import materialize
+from tallyfold.session import materialize, scratch_path
 
 #: Vocabulary file of op3 and the pipeline; None: the installed public tokenizer.
 TOKENIZER: str | None = None
@@ -214,3 +215,24 @@ from own join totals using (lang) qualify rank <= 2000"""
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best collocations of two to three words of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+OP12_SQL = """with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+ sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by all)
+select page_id, payload_bytes, payload_digest,
+ case when first < page_id then 'revisit' else 'response' end as record_type,
+ case when first < page_id then first end as refers_to
+from p left join f using (payload_digest)"""
+
+#: WARC-Date of all records: the pages carry no time of their own.
+ARCHIVED = datetime.datetime(2024, 1, 1)
+
+
+@query("op12_warc", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, ARCHIVED)
+    return warc.read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
