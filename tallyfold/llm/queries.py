@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import (
     bpe, collocations, decontaminate, html_text, licenses, line_dedup, near_dups, neighbours, quality, sharding,
-    url_filter, warc,
+    token_alignment, url_filter, warc,
 )
 from tallyfold.session import materialize, scratch_path
 
@@ -47,12 +47,12 @@ def op1(spark: SparkSession, sf_dir: str, shards: int = 24) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    if TOKENIZER is not None:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    if TOKENIZER is not None and name == "byte_bpe_50k.json":
         return TOKENIZER
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def digest(ids: str) -> Column:
@@ -236,3 +236,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), path, ARCHIVED)
     return warc.read_archives(spark, path, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_alignment.aligned(
+        docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digests=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
