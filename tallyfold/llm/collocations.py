@@ -45,7 +45,9 @@ SCALE = 1_000_000
 #: Bits of the filter for each candidate, and at most: 64 MB.
 BITS_EACH, MOST_BITS = 16, 1 << 29
 #: Bytes of text whose phrases a task counts at once.
-AT_ONCE = 16 << 20
+AT_ONCE = 1 << 20
+#: Counts that a task gathers before it adds them up, and rows that it gives to Spark at once.
+GATHERED, EMITTED = 1 << 20, 1 << 16
 #: Lists of the best that are made for each language before they are united.
 TOP_PARTS = 64
 
@@ -133,10 +135,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, _
             yield rows, _Run(rows.column(0), rows.column(1))
 
 
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The counts of several runs added up, in batches of bounded size."""
+    if not held:
+        return
+    key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    key, n = key[first].view(np.int64), np.add.reduceat(n, first) if len(first) else n
+    for at in range(0, len(key), EMITTED):
+        part = slice(at, at + EMITTED)
+        yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(n[part], pa.int64())], names=["key", "n"])
+
+
 def _mined(docs: DataFrame, lengths: list[int], shorter: _Filter | None, support: int) -> DataFrame:
     """Keys of the phrases of these lengths that one shard holds often enough; the shard in the low bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for rows, words in _runs(batches):
             shard = rows.column(2).to_numpy().astype(np.uint64)[words.text]
             for length in lengths:
@@ -144,9 +161,11 @@ def _mined(docs: DataFrame, lengths: list[int], shorter: _Filter | None, support
                 if shorter is not None:
                     known = shorter.passes(words.key(length - 1) | shard[:len(words.key(length - 1))])
                     at = at[known[at] & known[at + 1]]
-                key, n = np.unique(words.key(length)[at] | shard[at], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
+                held.append(np.unique(words.key(length)[at] | shard[at], return_counts=True))
+            if sum(len(key) for key, _ in held) >= GATHERED:
+                yield from _added(held)
+                held = []
+        yield from _added(held)
 
     counted = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= support).select("key")
