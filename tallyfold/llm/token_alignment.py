@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,14 +33,13 @@ import zstandard
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from tallyfold.llm.bpe import Vocabulary
+from tallyfold.llm.bpe import Encoder, Vocabulary
 from tallyfold.llm.words import slices, text_buffers
 from tallyfold.session import materialize
 
 #: Bytes of text encoded at once, and texts of a block.
-AT_ONCE, BLOCK_BYTES = 4 << 20, 24 << 20
+AT_ONCE, BLOCK_BYTES = 2 << 20, 8 << 20
 #: The id of A in the high half of a pair, that of B in the low one.
 HALF = 32
 #: Places of a text and of an end in the key of a join.
@@ -61,15 +59,12 @@ class Pair:
     """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path_a, encoding="utf-8") as f:
-            content = f.read()
-        self.a = Tokenizer.from_str(content)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+            vocab = Vocabulary(f.read())
+        self.bytes_a = pa.array(vocab.bytes, pa.large_binary())
+        vocab.special = {}  # their strings are text
+        self.a = Encoder(vocab)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = pa.array(Vocabulary(content).bytes, pa.large_binary())
         self.bytes_b = pa.array([self._piece(i) for i in range(self.b.get_piece_size())], pa.large_binary())
 
     def _piece(self, i: int) -> bytes:
@@ -77,8 +72,8 @@ class Pair:
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
     def encode_a(self, texts: list[str]) -> pa.ListArray:
-        found = self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
-        return pa.array([e.ids for e in found], pa.list_(pa.int32()))
+        ids, bounds = self.a.encode([f" {t}" for t in texts])
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
 
     def encode_b(self, texts: list[str]) -> pa.ListArray:
         return pa.array(self.b.encode(texts, num_threads=1), pa.list_(pa.int32()))
