@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfold.operators import graph as G
+from tallyfold.operators import stores
 from tallyfold.plans.fixtures import Tables
 from tallyfold.plans.registry import query
+from tallyfold.session import materialize
 
 MOVIE, PERSON = "red plate", "Customer#000000007"
 NEW_ID = 10_000_000_000
@@ -77,12 +79,13 @@ select src, dst, cast(earnings as double) as earnings from v_acted_in
 union all select distinct l_suppkey + {NEW_ID}, l_partkey, null::double from lineitem
 join supplier on l_suppkey = s_suppkey""")
 def graph_merge_edge(t: Tables):
-    movies = t.movies().withColumn("movie_key", F.col("id"))
-    _, edges, _ = G.merge_by_key(
-        t.persons(), t["v_acted_in"], movies, _new_roles(t), ("name", "Person"),
-        ("movie_key", "Movie"),
-    )
-    return edges.select("src", "dst", F.col("earnings").cast("double"))
+    movies = t.movies().select("id", "labels", F.col("id").alias("movie_key"))
+    buckets = t.spark.sparkContext.defaultParallelism
+    people = stores.create(t.persons().select("id", "labels", "name"), ["name"], buckets)
+    films, edges = stores.create(movies, ["movie_key"], buckets), stores.create(t["v_acted_in"], ["src", "dst"], buckets)
+    batch = materialize(_new_roles(t).distinct(), "new-roles")
+    stores.merge_by_key(people, edges, films, batch, "Person", "Movie")
+    return edges.rows().select("src", "dst", F.col("earnings").cast("double"))
 
 
 @query("graph_merge_nodes", f"""
@@ -108,8 +111,11 @@ def graph_set_property(t: Tables):
         .filter(F.col("r_name").isin("ASIA", "EUROPE"))
         .select(F.col("c_custkey").alias("id"), F.col("n_name").alias("place"))
     )
-    named = G.graph_set_property(t["v_person"], places, "id", "place")
-    return named.select("id", "name", "born", "place")
+    people = stores.create(t["v_person"], ["id"], t.spark.sparkContext.defaultParallelism)
+    log = stores.create_property_log(people, "string")
+    stores.set_property(log, places.select("id", F.lit("unknown").alias("value")), batch=0)
+    stores.set_property(log, places.select("id", F.col("place").alias("value")), batch=1)
+    return stores.with_property(people, log, "place").select("id", "name", "born", "place")
 
 
 @query("graph_avg_edge_property", """
@@ -155,7 +161,10 @@ def graph_upsert_counter(t: Tables):
     views = t["v_ratings"].filter("score = 5").select(
         F.col("user_id").alias("src"), F.col("movie_id").alias("dst")
     )
-    return G.graph_upsert_counter(old, views)
+    table = stores.create_counters(old, ["src", "dst"], t.spark.sparkContext.defaultParallelism)
+    stores.add_counts(table, views, batch=0)
+    stores.add_counts(table, views, batch=0)  # given again, it counts once
+    return stores.counts(table)
 
 
 @query("lookup_pair", f"""

@@ -55,10 +55,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    until_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def until_end(spark: SparkSession, path: str) -> None:
+    """Has a written folder deleted when ``materialize`` deletes its own."""
     _written[-1].append(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession, path: str) -> None:

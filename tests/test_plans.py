@@ -66,6 +66,12 @@ def test_tables_are_scanned_once(spark, name, most):
     assert sum("testdata" in line for line in scans) <= most
 
 
+@pytest.mark.parametrize("name", ["graph_merge_edge", "graph_set_property", "graph_upsert_counter"])
+def test_stores_are_read_without_a_shuffle(shuffling, name):
+    text = plan(QUERIES[name](shuffling, SMALL))
+    assert "Exchange" not in text and "store-" in text
+
+
 def test_no_text_is_dealt_anew_in_a_large_table(spark, monkeypatch):
     from tallyfold.sources import files
 
