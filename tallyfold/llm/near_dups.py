@@ -8,7 +8,8 @@ that bin alone (optimal densification). Bands of several bins are the buckets.
 2. In each bucket one node is the centre; it is paired with every other, a star, so a bucket gives
    fewer pairs than it has members.
 3. A pair is confirmed on the full sets of both texts.
-4. Confirmed links are joined to components. Buckets whose members are not yet in one component go
+4. Confirmed links are joined to components. The bands are worked on in two groups: a bucket whose members the
+   first has joined makes no pairs in the second. Buckets whose members are then not yet in one component go
    through two more rounds of stars: with a centre at random, another in each bucket, and with the
    node of most links, so that a text near to many finds them.
 5. In buckets that are then still apart, the members outside of the largest component are compared
@@ -18,8 +19,8 @@ that bin alone (optimal densification). Bands of several bins are the buckets.
 
 Buckets are never collected; all steps but the last are joins and combining aggregates. Two documents
 of similarity 0.8 miss each other in every bucket with a probability of (1 - 0.8**6)**40 = 5e-6, and
-more similar ones less. Step 5 passes over a pair of similarity 0.8 with a probability of about 0.001
-(0.85: 1e-5), if no star has tried it and nothing else joins its components.
+more similar ones less. Step 5 passes over a pair of similarity 0.8 with a probability of about the same
+(4.5 standard deviations), if no star has tried it and nothing else joins its components.
 
 Defined cases: null and empty texts, and texts without words, have an empty set, are linked with
 nothing and are kept. A row with a null id is returned unlinked, with no component. Rows that share an
@@ -46,10 +47,12 @@ SHINGLE = 2
 SIMILAR = (80, 100)
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
+#: The bands are worked on in these groups (first of each, and their number).
+BAND_GROUPS = (0, 8, BANDS)
 #: Members of a bucket, and members outside of its main component, that are compared in one block.
 ROW_BLOCK, ASKED_BLOCK = 4096, 256
 #: Standard deviations below the least similarity at which the bins of a pair may agree.
-SIGMAS = 3.0
+SIGMAS = 4.5
 #: Hashes of sets that a task keeps while it confirms pairs.
 KEPT_HASHES = 1 << 21
 #: Bytes of text whose words are hashed at once.
@@ -245,65 +248,85 @@ def _of_one_id(shingled: DataFrame, nodes: DataFrame) -> DataFrame | None:
 
 
 def _linked(docs, shingled, nodes, links, size):
-    """node, component of every node that stands in a bucket with another one."""
-    at_least, of = SIMILAR
-    members = (
-        shingled.join(nodes, "set_key").filter("doc_id = node")
-        .select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    )
-    crowded = members.groupBy("bucket").agg(
-        F.min("node").alias("centre"), F.max("node").alias("high"), F.min_by("n", "node").alias("n_centre"))
-    # Written, so that the joins with it are of plain shuffles, whose skewed parts can be split.
-    centres = materialize(crowded.filter("centre < high").drop("high"), "centres")
-    members = materialize(members.join(centres.select("bucket"), "bucket"), "members")
-    alone = members.select("node").distinct()
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    texts = materialize(texts.join(alone, "node", "left_semi"), "texts")
-    found = alone.withColumn("component", F.col("node"))
-    open_ = members.withColumn("component", F.col("node"))
+    """node, component of every node."""
+    signed = materialize(
+        shingled.join(nodes, "set_key").filter("doc_id = node").select("node", F.col("n_shingles").alias("n"), "bands")
+        .dropDuplicates(["node"]), "signed")
+    found = signed.select("node", F.col("node").alias("component"))
     if links is not None:
-        ends = links.select("a").union(links.select("b")).toDF("node").distinct()
-        found = found.union(ends.withColumn("component", F.col("node"))).distinct()
         found = materialize(_relabelled(found, links), "components")
-        open_ = members.join(found, "node")
-    centres = centres.withColumn("component_centre", F.lit(None).cast("long"))
-    tried, turn = None, 0
-    while True:
-        # A set of less than 4/5 of another's size cannot reach the similarity.
-        rays = open_.join(centres, "bucket").filter(
-            (F.col("node") != F.col("centre")) & ~F.col("component").eqNullSafe(F.col("component_centre"))
-        ).filter(of * F.least("n", "n_centre") >= at_least * F.greatest("n", "n_centre"))
-        pairs = rays.select(
-            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        seen = materialize(confirmed(pairs, texts, size), "tried")
-        tried = seen if tried is None else tried.union(seen)
-        new = seen.filter("linked")
-        if not new.isEmpty():
-            found = materialize(_relabelled(found, new), "components")
-        # Centres have met all others of their buckets; what is left goes on where it is not yet one.
-        rest = open_.select("bucket", "node", "n").join(
-            centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
-        sizes = found.groupBy("component").agg(F.count("*").alias("size"))
-        rest = materialize(rest.join(found, "node").join(sizes, "component"), "rest")
-        apart = rest.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"),
-            F.max(F.struct("size", "component"))["component"].alias("main")).filter("low < high")
-        apart = materialize(apart.select("bucket", "rows", "main"), "apart")
-        if apart.isEmpty():
+    tried = None
+    # A group of bands at a time: buckets that the groups before have settled make no pairs.
+    for first, last in itertools.pairwise(BAND_GROUPS):
+        bands = signed.select("node", "n", F.slice("bands", first + 1, last - first).alias("bands"))
+        members = bands.join(found, "node").withColumn("bucket", F.explode("bands")).drop("bands")
+        found, tried = _starred(members, _least_centres(members), found, tried, docs, size)
+    members = signed.select("node", "n", F.explode("bands").alias("bucket"))
+    for turn in (1, 2):
+        open_ = _unsettled(members, found)
+        if open_.isEmpty():
             return found
-        open_ = rest.join(apart, "bucket")
-        turn += 1
-        if turn > 2:
-            break
-        centres = materialize(_centres(open_, tried, turn), "centres")
-        open_ = open_.drop("rows", "main", "size")
+        members = open_.drop("component")
+        found, tried = _starred(open_, _centres(open_, tried, turn), found, tried, docs, size)
+    open_ = _unsettled(members, found)
+    if open_.isEmpty():
+        return found
+    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    mains = open_.join(sizes, "component").groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.max(F.struct("size", "component"))["component"].alias("main"))
+    open_ = open_.join(materialize(mains, "mains"), "bucket")
     facts = shingled.join(nodes, "set_key").filter("doc_id = node").select("node", "bands", "marks")
+    texts = _texts(docs, open_.select("node"))
     new = materialize(_block_links(open_, facts.dropDuplicates(["node"]), texts, size), "last-links")
     return found if new.isEmpty() else materialize(_relabelled(found, new), "components")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the nodes wanted."""
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
+    return materialize(texts.join(wanted.distinct(), "node", "left_semi"), "texts")
+
+
+def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, node, n, component: the members of buckets whose members are not yet one component."""
+    placed = members.join(found, "node")
+    apart = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    # Written, so that the join with it is of plain shuffles, whose skewed parts can be split.
+    apart = materialize(apart.select("bucket"), "apart")
+    return materialize(placed.join(apart, "bucket").select("bucket", "node", "n", "component"), "open")
+
+
+def _least_centres(members: DataFrame) -> DataFrame:
+    """bucket, centre (its least node), n_centre, component_centre of each bucket of several components."""
+    top = F.min(F.struct("node", "n", "component")).alias("top")
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    return members.groupBy("bucket").agg(top, *ends).filter("low < high").select(
+        "bucket", F.col("top.node").alias("centre"), F.col("top.n").alias("n_centre"),
+        F.col("top.component").alias("component_centre"))
+
+
+def _starred(members, centres, found, tried, docs, size):
+    """Components and pairs tried, after each centre has met the members of its bucket that are not in its component."""
+    at_least, of = SIMILAR
+    centres = materialize(centres, "centres").withColumnRenamed("bucket", "at")
+    # A set of less than 4/5 of another's size cannot reach the similarity.
+    rays = members.join(centres, (F.col("bucket") == F.col("at")) & (F.col("component") != F.col("component_centre")) & (
+        of * F.least("n", "n_centre") >= at_least * F.greatest("n", "n_centre")))
+    pairs = rays.select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = materialize(pairs, "pairs")
+    if pairs.isEmpty():
+        return found, tried if tried is not None else pairs.withColumn("linked", F.lit(False))
+    texts = _texts(docs, pairs.select("a").union(pairs.select("b")).toDF("node"))
+    seen = materialize(confirmed(pairs, texts, size), "tried")
+    tried = seen if tried is None else tried.union(seen)
+    new = seen.filter("linked")
+    return (found if new.isEmpty() else materialize(_relabelled(found, new), "components")), tried
+
+
 def _centres(open_: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
     """The next centre of each bucket: bucket, centre, n_centre, component_centre.
 
