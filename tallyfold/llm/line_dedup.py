@@ -180,9 +180,11 @@ def without_repeated_lines(docs: DataFrame, one_line: bool = True) -> DataFrame:
     joined = rows.join(gone, _same_row(rows, gone), "left").drop(gone["_row"], gone["doc_id"])
     if not one_line:
         joined = joined.withColumn("_spans", F.when(F.col("text").contains("\n"), F.col("_spans")))
-    kept = F.array_join(F.filter(
-        F.split("text", "\n", -1),
-        lambda line, i: ~F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["end"]))), "\n")
+    # Places of the lines left, by a hash set: the time grows with the lines, however many spans there are.
+    taken = F.flatten(F.transform("_spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
+    kept = F.transform(F.array(F.split("text", "\n", -1)), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), taken),
+        lambda i: F.get(lines, i.cast("int"))), "\n"))[0]
     return joined.withColumn(
         "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept),
     ).withColumn(

@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 from conftest import SMALL
@@ -100,3 +101,15 @@ def test_first_places_stay_and_blank_ends_go(documents):
             (4, "\np\n\nq\n\n"), (5, "\np\n\nq\n\n"), (6, "r\np\n\nq\ns"), (7, "t\nt\nt\nt")]
     found = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents(*docs)).collect()}
     assert found == {**dict(docs), 2: "", 3: "y\nz", 5: "", 6: "r\ns", 7: "t\nt"}
+
+
+def test_long_repeated_documents_take_linear_time(documents):
+    """Two equal documents: all lines of the second go, in about twice the time for twice the lines."""
+    took = []
+    for n in (8_000, 8_000, 32_000):
+        text = "\n".join(f"line {i} of a long log" for i in range(n))
+        start = time.perf_counter()
+        rows = {r["doc_id"]: r["text"] for r in d.without_repeated_lines(documents((1, text), (2, text))).collect()}
+        took.append(time.perf_counter() - start)
+        assert rows == {1: text, 2: ""}
+    assert took[2] < 3 * took[1] + 3
