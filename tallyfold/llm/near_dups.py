@@ -54,9 +54,11 @@ ROW_BLOCK, ASKED_BLOCK = 4096, 256
 #: Standard deviations below the least similarity at which the bins of a pair may agree.
 SIGMAS = 4.5
 #: Hashes of sets that a task keeps while it confirms pairs.
-KEPT_HASHES = 1 << 21
+KEPT_HASHES = 1 << 20
 #: Bytes of text whose words are hashed at once.
 AT_ONCE = 4 << 20
+#: Pairs whose texts are unpacked at once.
+PAIRS = 256
 #: With so few filled bins each empty one looks at all of them, else it draws until it finds one.
 SPARSE = 24
 
@@ -160,6 +162,11 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, marks binary")
 
 
+def _short(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of PAIRS rows of a batch."""
+    return (batch.slice(at, PAIRS) for at in range(0, len(batch), PAIRS))
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
     """The pairs a, b and whether their full sets are similar enough. ``texts``: node, text."""
     at_least, of = similar
@@ -172,7 +179,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, similar=S
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, np.ndarray] = {}
         held = 0
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(_short, batches)):
             linked = []
             if held > KEPT_HASHES:
                 kept, held = {}, 0
