@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.values import ratio
+from tallyfold.operators.rows import union_all
+from tallyfold.session import materialize
 
 
 def assemble_features(df: DataFrame, columns: Sequence[str], invalid: str = "skip") -> DataFrame:
@@ -21,32 +23,55 @@ def assemble_features(df: DataFrame, columns: Sequence[str], invalid: str = "ski
     ).transform(df)
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str], invalid: str = "skip") -> StringIndexerModel:
-    """Learns an index per text column: 0 is the most frequent value.
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """value, n, idx of the values of a text column: 0 is the most frequent one, ties by name. Nulls have no index.
 
-    ``invalid`` says what ``transform`` does with a row that holds a null or a value not seen here:
-    skip drops the row, keep gives the value one index more, error stops.
+    Counts are combined in each task. The distinct values are then cut along their order into ranges; each is
+    numbered by itself and begins where the ranges before it end. No list of values comes to the driver.
     """
-    return StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid=invalid
-    ).fit(df)
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    # Written: the cuts are drawn from a sample, so both uses below must see the same ones.
+    ranges = materialize(
+        counts.repartitionByRange(F.desc("n"), F.asc("value")).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("n"), "value")) - 1
+    # As many rows as there are ranges.
+    numbered = ranges.withColumn("_place", place).join(F.broadcast(starts), "_range")
+    return numbered.select("value", "n", (F.col("start") + F.col("_place")).cast("double").alias("idx"))
 
 
 def index_categories(
     df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None, invalid: str = "skip"
 ) -> DataFrame:
-    """``<column>_index`` per text column, learnt on ``fitted_on`` (default: ``df`` itself)."""
-    return fit_categories(df if fitted_on is None else fitted_on, columns, invalid).transform(df)
+    """``<column>_index`` per text column, learnt on ``fitted_on`` (default: ``df`` itself).
+
+    ``invalid`` says what becomes of a row that holds a null or a value not seen there:
+    skip drops the row, keep gives the value one index more, error stops.
+    """
+    if invalid not in ("skip", "keep", "error"):
+        raise ValueError(f"invalid is skip, keep or error, not {invalid}")
+    learnt = df if fitted_on is None else fitted_on
+    for column in columns:
+        known = materialize(dictionary(learnt, column).select("value", "idx"), "dictionary")
+        found = df.join(known.withColumnsRenamed({"value": column, "idx": f"{column}_index"}), column,
+                        "inner" if invalid == "skip" else "left")
+        if invalid == "keep":
+            more = known.agg(F.count("*").cast("double").alias("more")).scalar()
+            found = found.withColumn(f"{column}_index", F.coalesce(f"{column}_index", more))
+        elif invalid == "error":
+            message = F.concat(F.lit(f"{column} has no index for "), F.coalesce(column, F.lit("null")))
+            found = found.withColumn(f"{column}_index", F.coalesce(
+                f"{column}_index", F.raise_error(message).cast("double")))
+        df = found.select(*df.columns, f"{column}_index")
+    return df
 
 
 def index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The values of each indexed column with their index, as the fitted model lists them."""
-    rows = [
-        (column, value, float(i))
-        for column, values in zip(columns, fit_categories(df, columns).labelsArray)
-        for i, value in enumerate(values)
-    ]
-    return df.sparkSession.createDataFrame(rows, "column string, value string, idx double")
+    """The values of each indexed column with their index."""
+    return union_all(*[
+        dictionary(df, column).select(F.lit(column).alias("column"), "value", "idx") for column in columns])
 
 
 def leaf_means(train: DataFrame, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tallyfold.functions.dates import date_parts, parse_date
@@ -10,6 +12,7 @@ from tallyfold.operators import articles as A
 from tallyfold.operators import ordered
 from tallyfold.operators import rows as R
 from tallyfold.operators import tables as B
+from tallyfold.operators import versions
 from tallyfold.plans.fixtures import Tables
 from tallyfold.plans.registry import query
 from tallyfold.plans.text import KEYWORD, keyword_sql, tokens_sql, top_words_sql, words_sql
@@ -301,9 +304,9 @@ with {FACTS} select doc_id, url_id as title, published, removed from (
  select doc_id, title as url_id, published, cast(count_if(published < timestamp '{YEAR}-01-01') over () as bigint) as removed
  from facts) where published is null or published >= timestamp '{YEAR}-01-01'""")
 def delete_older_than(t: Tables):
-    kept, removed = B.delete_older_than(A.article_facts(t["v_articles"]), "published", f"{YEAR}-01-01")
-    removed = removed.select(F.col("removed").cast("long"))
-    return kept.select("doc_id", "title", "published", removed.scalar().alias("removed"))
+    facts = A.article_facts(t["v_articles"]).select("doc_id", "title", "published")
+    left, removed = versions.delete_before(versions.create(facts, "published"), datetime.datetime(YEAR, 1, 1))
+    return left.rows().withColumn("removed", F.lit(removed).cast("long"))
 
 
 @query("frontier_new_urls", """

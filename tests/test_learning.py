@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import learning as L
 from tallyfold.operators import rows as R
 from tallyfold.operators import splits as P
+from tallyfold.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,8 @@ def flights(spark):
 
 def ready(flights):
     indexed = L.index_categories(flights, ["carrier"])
-    return P.hash_split(L.assemble_features(indexed, ["hour", "day", "carrier_index"]), "id")
+    # Written once, as fits read their rows many times.
+    return P.hash_split(materialize(L.assemble_features(indexed, ["hour", "day", "carrier_index"]), "features"), "id")
 
 
 def test_index_by_frequency_then_name(rows):
@@ -27,6 +29,27 @@ def test_index_by_frequency_then_name(rows):
     assert values(L.index_table(df, ["c"])) == [("c", "a", 1.0), ("c", "b", 2.0), ("c", "c", 0.0)]
 
 
+def test_a_million_values_are_numbered_in_order(spark):
+    df = spark.range(1_000_500).select(
+        F.concat(F.lit("v"), F.lpad(F.when(F.col("id") < 1_000_000, F.col("id")).otherwise(7), 7, "0")).alias("c"))
+    index = L.dictionary(df, "c")
+    facts = index.agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx")).first()
+    assert tuple(facts) == (1_000_000, 1_000_000, 0.0, 999_999.0)
+    picked = {r["value"]: r["idx"] for r in index.filter("value in ('v0000007', 'v0000000', 'v0000006', 'v0999999')").collect()}
+    assert picked == {"v0000007": 0.0, "v0000000": 1.0, "v0000006": 7.0, "v0999999": 999_999.0}
+
+
+def test_unseen_values(rows):
+    seen, df = rows("c string", ("b",), ("b",), ("a",), (None,)), rows("c string, x int", ("a", 1), ("z", 2), (None, 3), ("b", 4))
+    got = L.index_categories(df, ["c"], seen)
+    assert got.columns == ["c", "x", "c_index"] and values(got, "x", "c_index") == [(1, 1.0), (4, 0.0)]
+    kept = L.index_categories(df, ["c"], seen, "keep")
+    assert values(kept, "x", "c_index") == [(1, 1.0), (2, 2.0), (3, 2.0), (4, 0.0)]
+    with pytest.raises(Exception, match="no index for"):
+        L.index_categories(df, ["c"], seen, "error").collect()
+    assert L.index_table(rows("c string"), ["c"]).count() == 0
+
+
 def test_features_skip_nulls(rows):
     df = rows("a int, b double", (1, 2.0), (None, 1.0))
     assert L.assemble_features(df, ["a", "b"]).count() == 1
