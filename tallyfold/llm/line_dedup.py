@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.frames import room_for
+from tallyfold.llm.words import slices
 from tallyfold.session import materialize
 
 #: Lines over which the rolling hash runs.
@@ -41,6 +42,8 @@ DIVISOR = 2
 LEAST_LINES, MOST_LINES = 2, 64
 #: A line of so many words is a block by itself.
 LONG_WORDS = 50
+#: Bytes of text whose blocks are listed at once.
+AT_ONCE = 4 << 20
 CHUNK_FIELDS = ["_row", "doc_id", "start", "end", "hash"]
 CHUNKS = ", ".join(f"{name} bigint" for name in CHUNK_FIELDS)
 
@@ -107,7 +110,7 @@ def chunk_hashes(rows: DataFrame) -> DataFrame:
     """_row, doc_id, start, end (lines) and hash of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _short(batches):
             made: list[list] = [[] for _ in CHUNK_FIELDS]
             keys, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for key, doc, text in zip(keys, ids, batch.column(2), strict=True):
@@ -123,7 +126,7 @@ def chunk_bytes(rows: DataFrame) -> DataFrame:
     """The blocks listed in ``_spans`` with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _short(batches):
             made: list[list] = [[] for _ in CHUNK_FIELDS]
             raws = []
             keys, ids, texts, spans = (
@@ -143,6 +146,13 @@ def chunk_bytes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{CHUNKS}, raw binary")
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of AT_ONCE bytes of text."""
+    for batch in batches:
+        for part in slices(batch.column(batch.schema.get_field_index("text")), AT_ONCE):
+            yield batch.slice(part.start, part.stop - part.start)
+
+
 def _same_row(one: DataFrame, other: DataFrame) -> Column:
     return (one["_row"] == other["_row"]) & one["doc_id"].eqNullSafe(other["doc_id"])
 

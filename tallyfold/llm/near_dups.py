@@ -56,7 +56,7 @@ SIGMAS = 4.5
 #: Hashes of sets that a task keeps while it confirms pairs.
 KEPT_HASHES = 1 << 20
 #: Bytes of text whose words are hashed at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 #: Pairs whose texts are unpacked at once.
 PAIRS = 256
 #: With so few filled bins each empty one looks at all of them, else it draws until it finds one.

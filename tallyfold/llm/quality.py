@@ -37,7 +37,7 @@ SAMPLE = 30_000
 BINS, PAIR_BINS = 48, 12
 ROUNDS, PAIR_ROUNDS, PAIRS = 160, 60, 8
 LEAVES, STEP, PENALTY, LEAST_ROWS = 4, 0.1, 2.0, 8
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 _SETS = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digits": b"0123456789",
