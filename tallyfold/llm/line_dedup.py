@@ -1,18 +1,23 @@
-"""Removal of repeated blocks of lines, found by every short run of them.
+"""Removal of repeated blocks of lines, found by content-defined chunks.
 
-A text is cut at line feeds. Every run of two lines that are not blank, with the blank ones between, and
-every line of at least 50 words is a block; one found more than once in the corpus is kept where it
-comes first (least doc_id, then position) and removed elsewhere. A longer repeat is the union of the
-runs in it, so it is found wherever it begins and ends. Blank lines around a repeat belong to no run; those at
-the ends of a text go with its first and last run, and those at the ends of a content-defined chunk
-(runs of lines cut where a rolling hash over the last lines meets a condition) with the chunk.
+A text is cut at line feeds, its lines into chunks: a boundary stands where a rolling hash over the last
+lines meets a condition, so equal passages are cut alike wherever they stand. A chunk of two or more different lines
+that are not blank, found more than once in the corpus, is kept where it comes first (least doc_id, then
+position) and removed elsewhere.
+
+A repeat whose ends are no boundaries reaches beyond its chunks, and a short one may hold none. So the short blocks
+of a text are listed with the chunks: runs of two lines that are not blank, with the blank ones
+between, and lines of at least 50 words. Those inside a copy of a chunk are settled with it. The others, around
+copies and in text that no repeated chunk covers, extend a repeat line by line to both its ends, wherever it begins
+and ends. Blank lines around a repeat go with a chunk only; those at the ends of a text with its first and last run.
 
 A block may overlap others, so the first place of one can lose lines that stand in an earlier other one;
 the first of all equal lines always stays. A run that overlaps an equal one, as where a line stands three
 times, is no copy of that one.
 
 Repeats are found by a 64-bit hash, then confirmed by the bytes: only blocks whose hash repeats are read
-again and grouped by hash and bytes. Counts and first places are combined in each task, so a block in
+again and grouped by hash and bytes. Nothing is removed on a hash alone; two chunks that share one by chance could
+at worst leave a short repeat in the later one. Counts and first places are combined in each task, so a block in
 a third of all texts is one row a task.
 
 Defined cases: null stays null and an empty text empty; a line goes with its line feed, and a text all of
@@ -23,9 +28,12 @@ equal in id and text are treated alike: all keep their blocks if one of them hol
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -43,9 +51,13 @@ LEAST_LINES, MOST_LINES = 2, 64
 #: A line of so many words is a block by itself.
 LONG_WORDS = 50
 #: Bytes of text whose blocks are listed at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 CHUNK_FIELDS = ["_row", "doc_id", "start", "end", "hash"]
 CHUNKS = ", ".join(f"{name} bigint" for name in CHUNK_FIELDS)
+#: Columns of blocks: ``chunk`` is the first line of the chunk around a short block, null for a chunk.
+BLOCK_FIELDS = [*CHUNK_FIELDS, "chunk"]
+#: For a short block that lies in no single chunk.
+ACROSS = -1
 
 
 def _hash(raw: bytes) -> int:
@@ -87,39 +99,55 @@ def _runs(lines: list[bytes], filled: list[int]) -> Iterator[tuple[int, int]]:
         yield (pairs[k - 1][0] if nth == 1 else start), end
 
 
-def _chunked(text: str | None) -> Iterator[tuple[int, int, bytes]]:
-    """First line, end and bytes of the blocks that may be removed, in order."""
-    if text is None:
-        return
-    lines = text.encode().split(b"\n")
-    filled = [i for i, line in enumerate(lines) if line.strip()]
+def _short_blocks(lines: list[bytes], filled: list[int]) -> set[tuple[int, int]]:
+    """First line and end of the long lines and of the runs of two."""
     spans = {(i, i + 1) for i in filled if len(lines[i].split()) >= LONG_WORDS}
     spans.update(_runs(lines, filled))
     if 2 <= len(filled) < len(lines):
         spans |= {(0, filled[1] + 1), (filled[-2], len(lines))}
-        blank = set(range(len(lines))).difference(filled)
-        spans.update(
-            (start, end) for start, end in line_chunks(lines)
-            if (start in blank or end - 1 in blank)
-            and sum(1 for i in range(start, end) if i not in blank) >= 2)
-    for start, end in sorted(spans):
-        yield start, end, b"\n".join(lines[start:end])
+    return spans
+
+
+def _blocks(lines: list[bytes]) -> Iterator[tuple[int, int, int | None]]:
+    """First line, end and ``chunk`` of the blocks that may be removed: chunks, then short blocks."""
+    filled = [i for i, line in enumerate(lines) if line.strip()]
+    # One line over and over is left to the runs, which tell copies from overlaps.
+    chunks = [
+        (start, end) for start, end in line_chunks(lines)
+        if len({line for line in lines[start:end] if line.strip()}) >= 2]
+    for start, end in chunks:
+        yield start, end, None
+    starts = [start for start, _ in chunks]
+    for start, end in sorted(_short_blocks(lines, filled).difference(chunks)):
+        at = bisect_right(starts, start) - 1
+        yield start, end, starts[at] if at >= 0 and end <= chunks[at][1] else ACROSS
 
 
-def chunk_hashes(rows: DataFrame) -> DataFrame:
-    """_row, doc_id, start, end (lines) and hash of every block."""
+def blocks(rows: DataFrame) -> DataFrame:
+    """_row, doc_id, start, end (lines), hash and ``chunk`` of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _short(batches):
-            made: list[list] = [[] for _ in CHUNK_FIELDS]
-            keys, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for key, doc, text in zip(keys, ids, batch.column(2), strict=True):
-                for start, end, raw in _chunked(text.as_py()):
-                    for column, value in zip(made, (key, doc, start, end, _hash(raw)), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=CHUNK_FIELDS)
+            keys, docs, inside = array("q"), [], []
+            starts, ends, hashes = array("q"), array("q"), array("q")
+            for key, doc, text in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if not text.is_valid:
+                    continue
+                lines = text.as_py().encode().split(b"\n")
+                for start, end, chunk in _blocks(lines):
+                    keys.append(key)
+                    docs.append(doc)
+                    starts.append(start)
+                    ends.append(end)
+                    hashes.append(_hash(b"\n".join(lines[start:end])))
+                    inside.append(chunk)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.frombuffer(keys, np.int64)), pa.array(docs, pa.int64()),
+                *(pa.array(np.frombuffer(c, np.int64)) for c in (starts, ends, hashes)),
+                pa.array(inside, pa.int64())], names=BLOCK_FIELDS)
 
-    return rows.select("_row", "doc_id", "text").mapInArrow(run, CHUNKS)
+    return rows.select("_row", "doc_id", "text").mapInArrow(run, f"{CHUNKS}, chunk bigint")
 
 
 def chunk_bytes(rows: DataFrame) -> DataFrame:
@@ -163,6 +191,40 @@ def _lists(chunks: DataFrame, *fields: str) -> DataFrame:
         F.sort_array(F.collect_set(F.struct(*fields))).alias("_spans"))
 
 
+def _order() -> Column:
+    """Where a block stands; those of rows without an id come last."""
+    return F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "start", "_row", "end")
+
+
+def _same_place(one: DataFrame, other: DataFrame) -> Column:
+    return _same_row(one, other) & (one["start"] == other["start"]) & (one["end"] == other["end"])
+
+
+def _repeated(found: DataFrame, label: str) -> DataFrame:
+    """The blocks whose hash stands more than once.
+
+    The hashes are written, so that the join is one of plain shuffles, whose skewed parts can be split.
+    """
+    hashes = materialize(
+        found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), label)
+    return found.join(hashes, "hash").select(*BLOCK_FIELDS)
+
+
+def open_places(found: DataFrame) -> DataFrame:
+    """The blocks to be compared by their bytes: repeated chunks, and short blocks that no copy of one holds."""
+    places = materialize(_repeated(found, "repeated"), "places")
+    firsts = places.groupBy("hash").agg(F.min(_order()).alias("first")).select("first.*")
+    chunks = places.filter("chunk is null")
+    copies = chunks.join(firsts, _same_place(chunks, firsts), "left_anti").select(
+        F.col("_row").alias("copy_row"), F.col("doc_id").alias("copy_id"), F.col("start").alias("copy_start"),
+    ).distinct()
+    left = places.filter("chunk is not null").join(
+        copies, F.expr("_row = copy_row and doc_id <=> copy_id and chunk = copy_start"), "left_anti")
+    # A short block whose other places are all settled stands alone now.
+    left = materialize(chunks.unionByName(left), "left")
+    return materialize(_repeated(left, "repeated-left"), "open").select(*CHUNK_FIELDS)
+
+
 def without_repeated_lines(docs: DataFrame, one_line: bool = True) -> DataFrame:
     """``docs`` with the text left and ``removed``, the line spans (start, end) taken out.
 
@@ -172,20 +234,13 @@ def without_repeated_lines(docs: DataFrame, one_line: bool = True) -> DataFrame:
     """
     kept, _ = room_for(docs, "removed int, _row int, _spans int")
     rows = kept.withColumn("_row", F.xxhash64("doc_id", "text"))
-    chunks = materialize(chunk_hashes(rows), "chunks")
-    # Written, so that the join below is one of plain shuffles, whose skewed parts can be split.
-    repeated = materialize(
-        chunks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeated")
-    places = materialize(chunks.join(repeated, "hash").select(*CHUNK_FIELDS), "places")
+    places = open_places(materialize(blocks(rows), "blocks"))
     lists = _lists(places, "start", "end", "hash")
     read = chunk_bytes(rows.join(lists, _same_row(rows, lists)).drop(lists["_row"], lists["doc_id"]))
     # Grouped by their bytes: the first place of each block, of which there is one for each hash
     # unless two blocks share it.
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "start", "_row", "end")
-    firsts = read.groupBy("hash", "raw").agg(F.min(order).alias("first")).select("first.*")
-    others = places.join(
-        firsts, _same_row(places, firsts) & (places["start"] == firsts["start"])
-        & (places["end"] == firsts["end"]), "left_anti")
+    firsts = read.groupBy("hash", "raw").agg(F.min(_order()).alias("first")).select("first.*")
+    others = places.join(firsts, _same_place(places, firsts), "left_anti")
     gone = _lists(others, "start", "end")
     joined = rows.join(gone, _same_row(rows, gone), "left").drop(gone["_row"], gone["doc_id"])
     if not one_line:

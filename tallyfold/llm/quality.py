@@ -223,6 +223,23 @@ def with_features(docs: DataFrame, text: str = "text", name: str = "features") -
     return kept.mapInArrow(run, schema)
 
 
+def rated(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """Adds the score of each text, measured and scored in one pass of one worker a task."""
+    kept, schema = room_for(docs, f"{name} double")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            for part in slices(column, AT_ONCE):
+                rows = batch.slice(part.start, part.stop - part.start)
+                scores = shared.value.scores(measures(column[part]))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(scores)], names=[*batch.schema.names, name])
+
+    return kept.mapInArrow(run, schema)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Whether a row is kept out of every fit; a row without id is not."""
     id_ = F.col(doc_id) if isinstance(doc_id, str) else doc_id
