@@ -32,10 +32,9 @@ def unpacked(rows: DataFrame, columns: list[str], changed: Column | None = None)
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model, learnt on the labelled ones, does not reject."""
-    measured = quality.with_features(packed(docs))
-    numbers = materialize(measured.select("doc_id", "features"), "features")
+    numbers = materialize(quality.with_features(docs.select("doc_id", "text")).drop("text"), "features")
     model = quality.train(numbers, queries.table(spark, sf_dir, "labels"))
-    scored = quality.scored(measured, model)
+    scored = quality.rated(packed(docs), model)
     return unpacked(scored.filter(F.col("score") >= queries.QUALITY_FLOOR), docs.columns)
 
 
@@ -71,10 +70,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
-    encoded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), queries.tokenizer_path())
-    return bpe.decode(encoded, queries.tokenizer_path()).select(
+    texts = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_digest"))
+    return bpe.round_trip(texts, queries.tokenizer_path()).select(
         "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+        (F.col("_digest") == F.sha2("decoded", 256)).alias("round_trip"))
 
 
 STAGES = [
