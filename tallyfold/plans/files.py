@@ -15,6 +15,13 @@ _SQL = "select o_orderkey, o_custkey, o_orderpriority from orders"
 #: Rows of one JSON array, a power of two: the number of files grows with the table, their size does not.
 ARRAY_BITS = 12
 ARRAY_ROWS = 1 << ARRAY_BITS
+#: The year whose files were written without the priority.
+LEAN_YEAR = 1995
+_YEARS_SQL = f"""
+select o_orderkey, o_custkey, case when year(o_orderdate) <> {LEAN_YEAR} then o_orderpriority end
+ as o_orderpriority, cast(year(o_orderdate) as int) as year from orders where o_orderdate is not null"""
+#: Ranges of order keys, each written as a file of its own.
+KEY_RANGES = 64
 
 
 def _orders(t: Tables):
@@ -98,3 +105,37 @@ def append_jsonl_capped(t: Tables):
     for _ in range(2):
         sinks.append_jsonl_capped(batch, folder, _ORDERS, "o_orderkey", "at", 100_000)
     return sources.read_jsonl(t.spark, folder, _ORDERS)
+
+
+def _yearly_files(t: Tables, fmt: str, **options) -> str:
+    """Orders in a folder per year; the files of ``LEAN_YEAR`` lack a column in the middle."""
+    folder = scratch_path(t.spark, "years")
+    orders = t["orders"].filter("o_orderdate is not null").select(
+        "o_orderkey", "o_orderpriority", "o_custkey", F.year("o_orderdate").alias("year"))
+    lean = F.col("year") == LEAN_YEAR
+    for part in (orders.filter(~lean), orders.filter(lean).drop("o_orderpriority")):
+        part.write.partitionBy("year").mode("append").format(fmt).options(**options).save(folder)
+    return folder
+
+
+@query("union_year_folders", _YEARS_SQL)
+def union_year_folders(t: Tables):
+    """Yearly Parquet files of differing columns, read back in one scan."""
+    return sources.read_year_folders(t.spark, _yearly_files(t, "parquet"), _ORDERS)
+
+
+@query("union_year_csv", _YEARS_SQL)
+def union_year_csv(t: Tables):
+    """Yearly CSV files of differing headers, one scan for each header."""
+    folder = _yearly_files(t, "csv", header=True)
+    years = [f"{folder}/year={y}" for y in sources.folder_values(t.spark, folder, "year")]
+    schema = f"{_ORDERS}, year int"
+    return sources.read_drifting_csv(t.spark, years, schema, base=folder)
+
+
+@query("first_n_in_files", "select o_orderkey, o_custkey, o_orderpriority from orders order by o_orderkey limit 5000")
+def first_n_in_files(t: Tables):
+    """Orders in files by ranges of their keys; no column orders the rows read back."""
+    folder = scratch_path(t.spark, "ordered")
+    _orders(t).repartitionByRange(KEY_RANGES, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(folder)
+    return sources.first_n_in_files(t.spark, folder, 5_000, _ORDERS)

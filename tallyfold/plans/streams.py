@@ -93,13 +93,13 @@ def stream_filter_to_files(t: Tables):
     return runner.run_append(chosen, "filtered", "csv", sep=";")
 
 
-def closed_windows_sql(extra: str = "") -> str:
+def closed_windows_sql(delay: str = "3 seconds") -> str:
     return f"""
 w as (select time_bucket(interval '10 seconds', ts) - i * interval '10 seconds' as start, event_type
  from events, range(6) r(i)),
 closed as (select start, start + interval '1 minute' as "end", count(*) as n,
  cast(sum(cast(event_type like '%lic%' as int)) as bigint) as n_matched from w group by start
- having start + interval '1 minute' <= (select max(ts) from events) - interval '3 seconds')"""
+ having start + interval '1 minute' <= (select max(ts) from events) - interval '{delay}')"""
 
 
 @query("stream_sliding_cond_count", f"with {closed_windows_sql()} select * from closed")
@@ -176,3 +176,28 @@ def multi_sink(t: Tables):
         for name, df in results.items()
     ]
     return counts[0].unionByName(counts[1])
+
+
+@query("watched_branches", f"""
+with {closed_windows_sql('2 days')}
+select 'large' as branch, count(*) as n, sum(event_id)::bigint as total from events where value > 100
+union all select 'windows', count(*), sum(n)::bigint from closed""")
+def watched_branches(t: Tables):
+    """A filter and a window over the same arrivals, as two running queries watched together.
+
+    Arrivals come in fifths, and each run goes on from the checkpoints of both branches. They
+    are out of order by less than the watermark, so no row is too late.
+    """
+    def run(arrivals: DataFrame, root: str) -> DataFrame:
+        events = J.event_time(arrivals, "ts")
+        results = runner.run_all([
+            runner.Branch("large", J.over_threshold(events, "value", 100, "event_id"), fmt="csv"),
+            runner.Branch("windows", J.sliding_cond_counts(events, "ts", "event_type", "%lic%", "2 days")),
+        ], root=root)
+        totals = [
+            results[name].agg(F.lit(name).alias("branch"), F.count("*").alias("n"), F.sum(of).alias("total"))
+            for name, of in (("large", "event_id"), ("windows", "n"))
+        ]
+        return totals[0].unionByName(totals[1])
+
+    return in_chunks(t, "v_arrivals", run)

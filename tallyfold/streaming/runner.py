@@ -9,9 +9,10 @@ again after a failure replaces its own output and nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -181,25 +182,69 @@ class Branch:
     options: dict[str, str] = field(default_factory=dict)
 
 
+class BranchFailed(RuntimeError):
+    """A running branch ended with an error; ``branch`` names it, ``__cause__`` is the error."""
+
+    def __init__(self, branch: str, cause: Exception | None) -> None:
+        super().__init__(f"branch {branch!r} failed: {cause}")
+        self.branch = branch
+
+
+def supervise(running: Mapping[str, StreamingQuery], poll: float = 1.0) -> None:
+    """Wait until all queries have ended; as soon as one fails, stop the others.
+
+    Under a trigger without an end a query waited for alone would hide the failure of the
+    next, so all are looked at every ``poll`` seconds. Raises ``BranchFailed`` after the
+    others have been stopped; they go on from their checkpoints when started again.
+    """
+    waiting = dict(running)
+    try:
+        while waiting:
+            for name, query in list(waiting.items()):
+                if not query.isActive:
+                    error = query.exception()
+                    if error is not None:
+                        raise BranchFailed(name, error) from error
+                    del waiting[name]
+            if waiting:
+                try:
+                    next(iter(waiting.values())).awaitTermination(poll)
+                except StreamingQueryException:
+                    pass  # named by the next look
+    finally:
+        stop_all(waiting.values())
+
+
+def stop_all(queries: Iterable[StreamingQuery]) -> None:
+    for query in queries:
+        if query.isActive:
+            query.stop()
+
+
 def run_all(
     branches: Sequence[Branch], label: str = "branches", trigger: dict | None = None,
     root: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Start several branches of a source in one submission and wait for all of them.
+    """Start several branches of a source in one submission and watch all of them.
 
-    Each has its checkpoint below ``root``. Returns what the file sinks hold; the console
+    If one cannot start or fails, the others are stopped (see ``supervise``). Each has its checkpoint below ``root``. Returns what the file sinks hold; the console
     format shows its rows and has no result.
     """
+    if len({b.name for b in branches}) < len(branches):
+        raise ValueError("branches need names of their own")
     spark = branches[0].frame.sparkSession
     root = root or scratch_path(spark, label)
-    started = []
-    for b in branches:
-        writer = b.frame.writeStream.outputMode(b.output_mode).format(b.fmt).options(**b.options)
-        if b.fmt != "console":
-            writer = writer.option("path", b.path or f"{root}/{b.name}")
-        started.append(_start(writer, f"{root}/checkpoint-{b.name}", trigger))
-    for query in started:
-        query.awaitTermination()
+    started = {}
+    try:
+        for b in branches:
+            writer = b.frame.writeStream.outputMode(b.output_mode).format(b.fmt).options(**b.options)
+            if b.fmt != "console":
+                writer = writer.option("path", b.path or f"{root}/{b.name}")
+            started[b.name] = _start(writer, f"{root}/checkpoint-{b.name}", trigger)
+    except Exception:
+        stop_all(started.values())
+        raise
+    supervise(started)
     return {
         b.name: spark.read.schema(b.frame.schema).format(b.fmt).options(**b.options).load(
             b.path or f"{root}/{b.name}")

@@ -45,6 +45,46 @@ def test_years_in_one_scan(spark, text):
     assert S.read_years(spark, paths, "Year int, Delay int").groupBy("Year").count().count() == 3
 
 
+def test_year_folders_in_one_scan(spark, rows, tmp_path):
+    root = str(tmp_path / "years")
+    rows("id long, late int, year int", (1, 5, 1987), (2, None, 1988)).write.partitionBy("year").parquet(root)
+    rows("id long, extra string, year int", (3, "x", 1989)).write.mode("append").partitionBy("year").parquet(root)
+    got = S.read_year_folders(spark, root, "id long, late int")
+    assert values(got) == [(1, 5, 1987), (2, None, 1988), (3, None, 1989)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "extra" not in plan
+    assert values(S.read_year_folders(spark, root, "id long", [1988, 2001]), "id") == [(2,)]
+    assert S.read_year_folders(spark, str(tmp_path / "none"), "id long").columns == ["id", "year"]
+
+
+def test_csv_headers_that_drift(spark, text):
+    paths = [text("a.csv", "id,late,note\n1,5,x\n2,,y\n"), text("b.csv", "note,id\nz,3\n"),
+             text("c.csv", "id,late,note\n4,oops,\n"), text("d.csv", "")]
+    got = S.read_drifting_csv(spark, paths, "id long, late int")
+    assert got.columns == ["id", "late"]
+    assert values(got) == [(1, 5), (2, None), (3, None), (4, None)]
+    # equal headers share a scan
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert S.read_drifting_csv(spark, [], "id long").count() == 0
+
+
+def test_first_rows_in_file_order(spark, tmp_path):
+    """Files of 10 rows in two folders; the order of ids is not that of the rows."""
+    root = str(tmp_path / "t")
+    for part in "ab":
+        ids = spark.range(0, 50, numPartitions=5).select((100 - F.col("id")).alias("id"))
+        ids.write.parquet(f"{root}/part={part}")
+    for n, expected in ((0, []), (1, [("a", 100)]), (10, [("a", 100 - i) for i in range(10)]),
+                        (23, [("a", 100 - i) for i in range(23)]),
+                        (55, [("a", 100 - i) for i in range(50)] + [("b", 100 - i) for i in range(5)])):
+        assert values(S.first_n_in_files(spark, root, n), "part", "id") == sorted(expected, key=repr)
+    assert S.first_n_in_files(spark, root, 1_000).count() == 100
+    read = S.first_n_in_files(spark, root, 23).inputFiles()
+    assert len(read) == 3  # two whole files and the crossing one
+    spark.createDataFrame([], "id long").write.parquet(str(tmp_path / "empty"))
+    assert S.first_n_in_files(spark, str(tmp_path / "empty"), 5).count() == 0
+
+
 def test_json(spark, text):
     lines = text("a.jsonl", '{"url": "u", "comment_count": "(3 příspěvků)"}\n{"url": "v", "comment_count": 4}\n')
     got = S.read_jsonl(spark, lines, schemas.ARTICLE)

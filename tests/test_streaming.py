@@ -179,6 +179,34 @@ def test_branches_with_a_window(spark, rows, folder, tmp_path):
     assert values(got["large"]) == [(200,), (300,)] and (T0 in {r["start"] for r in got["windows"].collect()})
 
 
+def test_a_failing_branch_stops_the_others(spark, rows, folder, tmp_path):
+    """The second branch dies while the first, which never ends, is the one waited for."""
+    frame = rows("n int", (1,), (0,))
+    path = folder(frame)
+    source = lambda: S.stream_table(spark, path, frame.schema)
+    bad = source().select(F.when(F.col("n") == 0, F.raise_error(F.lit("bad row"))).otherwise(F.col("n")).alias("n"))
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(runner.BranchFailed, match="bad row") as failure:
+        runner.run_all([runner.Branch("good", source()), runner.Branch("bad", bad)],
+                       trigger={"processingTime": "1 second"}, root=str(tmp_path / "runs"))
+    assert failure.value.branch == "bad"
+    assert {q.id for q in spark.streams.active} == before
+    again = runner.run_all([runner.Branch("good", source())], root=str(tmp_path / "runs"))
+    assert values(again["good"]) == [(0,), (1,)]  # goes on from its checkpoint, no row twice
+
+
+def test_a_branch_that_cannot_start(spark, rows, folder, tmp_path):
+    frame = rows("n int", (1,))
+    source = S.stream_table(spark, folder(frame), frame.schema)
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception, match="(?i)mode"):  # counts without a watermark cannot be appended
+        runner.run_all([runner.Branch("good", source), runner.Branch("bad", source.groupBy("n").count())],
+                       trigger={"processingTime": "1 second"}, root=str(tmp_path / "runs"))
+    assert {q.id for q in spark.streams.active} == before
+    with pytest.raises(ValueError):
+        runner.run_all([runner.Branch("a", source), runner.Branch("a", source)], root=str(tmp_path / "same"))
+
+
 def test_rolled_text_from_a_stream(spark, rows, folder, tmp_path):
     frame = rows("value string", *[(f"line {i}",) for i in range(25)])
     stream = S.stream_table(spark, folder(frame), frame.schema)
