@@ -54,7 +54,7 @@ class Store:
 
     def known(self, batch: DataFrame) -> DataFrame:
         """Rows of the table whose keys are in the batch; the table is read where it lies, the batch is hashed."""
-        keys = self.dealt(batch.select(*self.keys).distinct())
+        keys = self.dealt(batch.select(*self.keys)).distinct()
         return self.rows().join(keys.hint("shuffle_hash"), list(self.keys), "left_semi")
 
     def compacted(self, read: DataFrame, path: str | None = None) -> Store:
@@ -72,13 +72,18 @@ def _write(df: DataFrame, store: Store, mode: str) -> None:
     writer.bucketBy(store.buckets, first, *rest).sortBy(first, *rest).saveAsTable(store.name)
 
 
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """Buckets of a table of that many rows, so that what a task holds of one does not grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS))
+
+
 def create(df: DataFrame, keys: Sequence[str], buckets: int | None = None, path: str | None = None) -> Store:
     """Writes ``df`` as a bucketed table, below ``path`` or in the scratch folder until the application ends.
 
     Without ``buckets`` the rows are counted: one for each BUCKET_ROWS.
     """
     spark = df.sparkSession
-    count = buckets or max(spark.sparkContext.defaultParallelism, -(-df.count() // BUCKET_ROWS))
+    count = buckets or bucket_count(spark, df.count())
     store = Store(spark, f"store_{uuid.uuid4().hex}", path or scratch_path(spark, "store"), tuple(keys), count)
     _write(store.dealt(df), store, "error")
     if path is None:
@@ -98,7 +103,8 @@ def opened(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) ->
 
 def merge_edges(edges: Store, batch: DataFrame) -> None:
     """Appends the (src, dst) pairs of ``batch`` that have no edge yet."""
-    wanted = batch.select("src", "dst").distinct()
+    # Dealt first: a task holds the distinct pairs of one bucket.
+    wanted = edges.dealt(batch.select("src", "dst")).distinct()
     edges.append(wanted.join(edges.known(wanted).select("src", "dst").distinct(), ["src", "dst"], "left_anti"))
 
 

@@ -122,6 +122,13 @@ class Tables:
             text = re.sub(rf"\b(from|join) {base}\b", rf"\1 {{{base}}}", text)
         return self.spark.sql(text, **{base: self[base] for base in _DEPENDS[name]})
 
+    def acted_in(self, buckets: int) -> DataFrame:
+        """``v_acted_in``, its lines dealt into buckets before they are added up: a task holds the sums of one bucket."""
+        lines = self["lineitem"].join(self["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("o_custkey").alias("src"), F.col("l_partkey").alias("dst"), "l_returnflag", "l_extendedprice")
+        kept = F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice").cast("decimal(18,2)"))
+        return lines.repartition(buckets, "src", "dst").groupBy("src", "dst").agg(F.sum(kept).alias("earnings"))
+
     def movies(self) -> DataFrame:
         """Movies as nodes of the property graph."""
         return self["v_movies"].select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators import graph as G
@@ -61,14 +62,14 @@ def graph_common_neighbors(t: Tables):
     )
 
 
-def _new_roles(t: Tables):
+def _new_roles(t: Tables, roles: DataFrame):
     """Suppliers as new persons beside customers that exist, with their parts."""
     lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey")
     suppliers = lines.join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("s_name").alias("name"), (F.col("s_suppkey") + NEW_ID).alias("source_id"),
         F.col("l_partkey").alias("target_id"),
     )
-    known = t["v_acted_in"].join(t["v_person"], F.col("src") == F.col("id")).select(
+    known = roles.join(t["v_person"], F.col("src") == F.col("id")).select(
         "name", F.col("id").alias("source_id"), F.col("dst").alias("target_id")
     )
     return suppliers.unionByName(known).withColumn("movie_key", F.col("target_id"))
@@ -80,10 +81,13 @@ union all select distinct l_suppkey + {NEW_ID}, l_partkey, null::double from lin
 join supplier on l_suppkey = s_suppkey""")
 def graph_merge_edge(t: Tables):
     movies = t.movies().select("id", "labels", F.col("id").alias("movie_key"))
-    buckets = t.spark.sparkContext.defaultParallelism
-    people = stores.create(t.persons().select("id", "labels", "name"), ["name"], buckets)
-    films, edges = stores.create(movies, ["movie_key"], buckets), stores.create(t["v_acted_in"], ["src", "dst"], buckets)
-    batch = materialize(_new_roles(t).distinct(), "new-roles")
+    # A line gives at most one stored and one new role.
+    buckets = stores.bucket_count(t.spark, 2 * t["lineitem"].count())
+    people, films = stores.create(t.persons().select("id", "labels", "name"), ["name"]), stores.create(movies, ["movie_key"])
+    edges = stores.create(t.acted_in(buckets), ["src", "dst"], buckets)
+    new = _new_roles(t, edges.rows())
+    # Dealt before copies are dropped, so that a task holds one bucket's rows only.
+    batch = materialize(new.repartition(buckets, *new.columns).distinct(), "new-roles")
     stores.merge_by_key(people, edges, films, batch, "Person", "Movie")
     return edges.rows().select("src", "dst", F.col("earnings").cast("double"))
 
@@ -93,7 +97,7 @@ select id, name, born, 'Person' as labels from v_person
 union all select distinct s_suppkey + {NEW_ID}, s_name, null::int, 'Person'
 from supplier join lineitem on l_suppkey = s_suppkey""")
 def graph_merge_nodes(t: Tables):
-    batch = _new_roles(t).select(
+    batch = _new_roles(t, t["v_acted_in"]).select(
         "name", F.col("source_id").alias("id"), F.array(F.lit("Person")).alias("labels")
     )
     merged = G.graph_merge_nodes(t.persons(), batch, "name")

@@ -1,9 +1,12 @@
 import pytest
-from conftest import values
+from __spark_entry__ import queries
+from conftest import SMALL, values
 from pyspark.errors import PySparkException
 
 from tallyfold.operators import graph as G
+from tallyfold.operators import stores
 from tallyfold.operators import tables as B
+from tallyfold.plans.fixtures import Tables
 
 
 @pytest.fixture
@@ -115,3 +118,19 @@ def test_incremental_append(rows):
     assert values(every) == [("a",), ("b",), ("c",)]
     new = B.frontier_new_urls(rows("url string", ("a",), ("z",), ("z",), (None,)), seen)
     assert values(new) == [("z",)]
+
+
+def test_roles_of_dealt_lines(spark):
+    t = Tables(spark, SMALL)
+    assert values(t.acted_in(5)) == values(t["v_acted_in"].select("src", "dst", "earnings"))
+
+
+def test_buckets_of_the_merged_edges_grow_with_the_lines(spark, monkeypatch):
+    made = []
+    real = stores.create
+    monkeypatch.setattr(stores, "create", lambda *a: made.append(real(*a)) or made[-1])
+    monkeypatch.setattr(stores, "BUCKET_ROWS", 500)
+    found = queries()["graph_merge_edge"](spark, SMALL)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    edges = next(s for s in made if s.keys == ("src", "dst"))
+    assert edges.buckets >= lines // 500 and found.count() == edges.rows().count()
