@@ -114,9 +114,16 @@ def eval_accuracy(predictions: DataFrame, label: str, prediction: str = "predict
     return predictions.agg(ratio(right, F.count("*")).alias("accuracy"))
 
 
-def repartition_for_training(df: DataFrame, partitions: int | None) -> DataFrame:
-    """Rows evenly over ``partitions`` tasks; iterations read all of them again and again."""
-    return df.repartition(partitions) if partitions else df
+def repartition_for_training(df: DataFrame, partitions: int | None, label: str = "label") -> DataFrame:
+    """Features and label over at least ``partitions`` tasks, written once.
+
+    A fit reads its rows several times, and each reading would run a shuffle anew. The written rows are read in
+    splits of even size; only a table too small for so many splits is dealt out again.
+    """
+    if not partitions:
+        return df
+    written = materialize(df.select("features", label), "training")
+    return written if written.rdd.getNumPartitions() >= partitions else written.repartition(partitions)
 
 
 def classify_logistic(
@@ -124,7 +131,7 @@ def classify_logistic(
 ) -> DataFrame:
     """``test`` with logistic predictions; both frames carry ``features``."""
     model = LogisticRegression(featuresCol="features", labelCol=label)
-    return model.fit(repartition_for_training(train, partitions)).transform(test)
+    return model.fit(repartition_for_training(train, partitions, label)).transform(test)
 
 
 def classify_mlp(
@@ -139,7 +146,7 @@ def classify_mlp(
         featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed,
         layers=[width, *hidden, classes],
     )
-    return model.fit(repartition_for_training(train, partitions)).transform(test)
+    return model.fit(repartition_for_training(train, partitions, label)).transform(test)
 
 
 def fallback_model(
@@ -148,10 +155,11 @@ def fallback_model(
 ) -> DataFrame:
     """Accuracy report; the perceptron is trained only if the first model is below ``floor``."""
     spark = train.sparkSession
-    predicted = classify_logistic(train, test, label, partitions)
+    train = repartition_for_training(train, partitions, label)
+    predicted = classify_logistic(train, test, label)
     reached = eval_accuracy(predicted, label).first()["accuracy"]
     rows = [("logistic", reached, reached >= floor)]
     if reached < floor:
-        predicted = classify_mlp(train, test, label=label, partitions=partitions)
+        predicted = classify_mlp(train, test, label=label)
         rows.append(("mlp", eval_accuracy(predicted, label).first()["accuracy"], True))
     return spark.createDataFrame(rows, "model string, accuracy double, chosen boolean")

@@ -87,3 +87,13 @@ def test_logistic_and_fallback(flights):
     assert values(L.fallback_model(train, test, 0.55), "model", "chosen") == [("logistic", True)]
     assert values(L.fallback_model(train, test, 1.01), "model", "chosen") == [
         ("logistic", False), ("mlp", True)]
+
+
+def test_training_rows_are_not_shuffled_again(spark):
+    rows = spark.range(0, 3000, 1, 6).select((F.col("id") % 24).alias("hour"), (F.col("id") % 2).cast("double").alias("late"))
+    ready = L.repartition_for_training(L.assemble_features(rows, ["hour"]), 4, "late")
+    text = ready._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "FileScan" in text
+    assert ready.count() == 3000 and ready.rdd.getNumPartitions() >= 4
+    small = L.repartition_for_training(L.assemble_features(rows.limit(3).coalesce(1), ["hour"]), 4, "late")
+    assert small.count() == 3 and small.rdd.getNumPartitions() == 4
