@@ -110,3 +110,12 @@ def test_report_agrees_with_single_operators(corpus):
     assert report["busiest_month"] == {"1": 2} and report["quietest_month"] == {"1": 2}
     words = "jedna dvě tři the čtyři slova jsou tady".split()
     assert report["avg_word_length"][""] == sum(map(len, words)) / len(words)
+
+
+def test_report_reads_the_articles_once(spark, corpus, tmp_path, monkeypatch):
+    corpus.write.parquet(f"{tmp_path}/articles")
+    read, real = [], A.materialize
+    monkeypatch.setattr(A, "materialize", lambda df, label: read.extend(df.inputFiles()) or real(df, label))
+    A.corpus_report(spark.read.parquet(f"{tmp_path}/articles"), 2022, "the").collect()
+    ours = [f for f in read if f"{tmp_path}/articles" in f]
+    assert ours and len(ours) == len(set(ours))
