@@ -40,6 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.words import SPACED_BYTES, hashed_words, mixed, slices, text_buffers
+from tallyfold.operators import stores
+from tallyfold.operators.stores import Store
 from tallyfold.session import materialize
 
 SHINGLE = 2
@@ -59,6 +61,8 @@ KEPT_HASHES = 1 << 20
 AT_ONCE = 1 << 20
 #: Pairs whose texts are unpacked at once.
 PAIRS = 256
+#: Documents of a bucket of the written texts, about.
+TEXT_ROWS = 16_384
 #: With so few filled bins each empty one looks at all of them, else it draws until it finds one.
 SPARSE = 24
 
@@ -231,7 +235,7 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     signed = materialize(signatures(docs, size), "signatures")
     shingled = signed.filter("set_key is not null and doc_id is not null")
     nodes = materialize(shingled.groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    found = _linked(docs, shingled, nodes, _of_one_id(shingled, nodes), size)
+    found = _linked(_stored(docs, signed.count()), shingled, nodes, _of_one_id(shingled, nodes), size)
     classed = signed.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
     classed = classed.join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
@@ -288,10 +292,16 @@ def _linked(docs, shingled, nodes, links, size):
     return found if new.isEmpty() else materialize(_relabelled(found, new), "components")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, text of the nodes wanted."""
+def _stored(docs: DataFrame, rows: int) -> Store:
+    """node, text of all documents, dealt by node once: each round picks its texts from them without moving the others."""
+    buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows // TEXT_ROWS))
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    return materialize(texts.join(wanted.distinct(), "node", "left_semi"), "texts")
+    return stores.create(texts, ["node"], buckets)
+
+
+def _texts(docs: Store, wanted: DataFrame) -> DataFrame:
+    """node, text of the nodes wanted."""
+    return materialize(docs.known(wanted), "texts")
 
 
 def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:

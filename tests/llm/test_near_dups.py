@@ -128,3 +128,28 @@ def test_no_pairs_within_groups(documents, monkeypatch):
     found = n.near_duplicate_classes(docs)
     assert found.agg(F.max("component_id")).first()[0] == 0
     assert sum(tried) < 150 * 12
+
+
+def test_texts_are_dealt_once(documents, monkeypatch):
+    """Each round reads its texts where they were written; none moves the others again."""
+    plans, real = [], n.materialize
+
+    def seen(df, label):
+        if label == "texts":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(n, "materialize", seen)
+    spark = documents().sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = " ".join(f"w{i}" for i in range(200))
+        docs = documents(*enumerate(near_copies(random.Random(6), base, 60, 0.02)))
+        assert n.near_duplicate_classes(docs).agg(F.max("component_id")).first()[0] == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans
+    for text in plans:
+        lines = text.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "text" in line and "Bucketed: true" in line)
+        assert not [line for line in lines[:scan] if "Exchange" in line], text
