@@ -12,15 +12,17 @@ that bin alone (optimal densification). Bands of several bins are the buckets.
    first has joined makes no pairs in the second. Buckets whose members are then not yet in one component go
    through two more rounds of stars: with a centre at random, another in each bucket, and with the
    node of most links, so that a text near to many finds them.
-5. In buckets that are then still apart, the members outside of the largest component are compared
-   with all others by a byte of each bin, in blocks of bounded size; pairs that agree in about as
-   many bins as similar texts must are confirmed, until their components are linked. So no
-   bucket is cut short.
-
-Buckets are never collected; all steps but the last are joins and combining aggregates. Two documents
+5. In buckets that are then still apart, the members outside of the largest component meet all
+   others. Where they are few, each pair not yet tried is confirmed, once for all buckets that
+   both are in. Where they are many, they are compared by a byte of each bin, in blocks of bounded
+   size; pairs that agree in about as many bins as similar texts must are confirmed, until their
+   components are linked. So no bucket is cut short.
+
+Buckets are never collected; all steps but the blocks are joins and combining aggregates. Buckets of one
+node are dropped at the start, and only texts of nodes that share a bucket are written. Two documents
 of similarity 0.8 miss each other in every bucket with a probability of (1 - 0.8**6)**40 = 5e-6, and
-more similar ones less. Step 5 passes over a pair of similarity 0.8 with a probability of about the same
-(4.5 standard deviations), if no star has tried it and nothing else joins its components.
+more similar ones less. The blocks of step 5 pass over a pair of similarity 0.8 with a probability of about
+the same (4.5 standard deviations), if no star has tried it and nothing else joins its components.
 
 Defined cases: null and empty texts, and texts without words, have an empty set, are linked with
 nothing and are kept. A row with a null id is returned unlinked, with no component. Rows that share an
@@ -53,6 +55,8 @@ BINS = BANDS * ROWS
 BAND_GROUPS = (0, 8, BANDS)
 #: Members of a bucket, and members outside of its main component, that are compared in one block.
 ROW_BLOCK, ASKED_BLOCK = 4096, 256
+#: With so few members outside of its main component a bucket of one block makes pairs of them and all its members.
+FEW_ASKED = 8
 #: Standard deviations below the least similarity at which the bins of a pair may agree.
 SIGMAS = 4.5
 #: Hashes of sets that a task keeps while it confirms pairs.
@@ -234,9 +238,12 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
     signed = materialize(signatures(docs, size), "signatures")
     shingled = signed.filter("set_key is not null and doc_id is not null")
-    nodes = materialize(shingled.groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    found = _linked(_stored(docs, signed.count()), shingled, nodes, _of_one_id(shingled, nodes), size)
-    classed = signed.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
+    # Equal sets have equal bands: the least row of each, combined where the rows lie.
+    least = F.min(F.struct("doc_id", "n_shingles", "bands")).alias("least")
+    nodes = materialize(shingled.groupBy("set_key").agg(least).select(
+        "set_key", F.col("least.doc_id").alias("node"), F.col("least.n_shingles").alias("n"), "least.bands"), "nodes")
+    found = _linked(docs, signed, nodes, _of_one_id(shingled, nodes), size)
+    classed = signed.select("doc_id", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left")
     classed = classed.join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return classed.select(
@@ -258,21 +265,24 @@ def _of_one_id(shingled: DataFrame, nodes: DataFrame) -> DataFrame | None:
     return own.join(least, "doc_id").select("a", F.col("node").alias("b")).filter("a != b")
 
 
-def _linked(docs, shingled, nodes, links, size):
+def _linked(docs, signed, nodes, links, size):
     """node, component of every node."""
-    signed = materialize(
-        shingled.join(nodes, "set_key").filter("doc_id = node").select("node", F.col("n_shingles").alias("n"), "bands")
-        .dropDuplicates(["node"]), "signed")
-    found = signed.select("node", F.col("node").alias("component"))
+    # A node has several rows only where an id has several sets.
+    once = nodes.select("node", "n", "bands") if links is None else materialize(
+        nodes.select("node", "n", "bands").dropDuplicates(["node"]), "signed")
+    found = once.select("node", F.col("node").alias("component"))
     if links is not None:
         found = materialize(_relabelled(found, links), "components")
+    shared = _shared(once)
+    if shared.isEmpty():
+        return found
+    docs = _stored(docs, shared.select("node"), signed.count())
     tried = None
     # A group of bands at a time: buckets that the groups before have settled make no pairs.
     for first, last in itertools.pairwise(BAND_GROUPS):
-        bands = signed.select("node", "n", F.slice("bands", first + 1, last - first).alias("bands"))
-        members = bands.join(found, "node").withColumn("bucket", F.explode("bands")).drop("bands")
+        members = shared.filter(F.col("band").between(first, last - 1)).drop("band").join(found, "node")
         found, tried = _starred(members, _least_centres(members), found, tried, docs, size)
-    members = signed.select("node", "n", F.explode("bands").alias("bucket"))
+    members = shared.drop("band")
     for turn in (1, 2):
         open_ = _unsettled(members, found)
         if open_.isEmpty():
@@ -286,17 +296,34 @@ def _linked(docs, shingled, nodes, links, size):
     mains = open_.join(sizes, "component").groupBy("bucket").agg(
         F.count("*").alias("rows"), F.max(F.struct("size", "component"))["component"].alias("main"))
     open_ = open_.join(materialize(mains, "mains"), "bucket")
-    facts = shingled.join(nodes, "set_key").filter("doc_id = node").select("node", "bands", "marks")
-    texts = _texts(docs, open_.select("node"))
-    new = materialize(_block_links(open_, facts.dropDuplicates(["node"]), texts, size), "last-links")
+    asked = open_.filter("component != main").groupBy("bucket").agg(F.count("*").alias("n_asked"))
+    open_ = materialize(open_.join(materialize(asked, "asked"), "bucket"), "last")
+    few = (F.col("n_asked") <= FEW_ASKED) & (F.col("rows") <= ROW_BLOCK)
+    new = _pair_links(open_.filter(few), tried, docs, size)
+    many = open_.filter(~few)
+    if not many.isEmpty():
+        wanted = many.select("node").distinct()
+        own = nodes.join(wanted, "node", "left_semi").select("set_key", "node")
+        facts = signed.join(own, "set_key").filter("doc_id = node").select("node", "bands", "marks")
+        blocks = _block_links(many, facts.dropDuplicates(["node"]), _texts(docs, wanted), size)
+        new = new.union(materialize(blocks, "last-links"))
     return found if new.isEmpty() else materialize(_relabelled(found, new), "components")
 
 
-def _stored(docs: DataFrame, rows: int) -> Store:
-    """node, text of all documents, dealt by node once: each round picks its texts from them without moving the others."""
+def _shared(nodes: DataFrame) -> DataFrame:
+    """node, n, band, bucket: the members of buckets of several nodes. Most buckets have one, and go here."""
+    members = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
+    several = members.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1").select("bucket")
+    return materialize(members.join(materialize(several, "buckets"), "bucket", "left_semi"), "shared")
+
+
+def _stored(docs: DataFrame, nodes: DataFrame, rows: int) -> Store:
+    """node, text of the documents that are nodes, dealt by node once: each round picks its texts from them without moving the others."""
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows // TEXT_ROWS))
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    return stores.create(texts, ["node"], buckets)
+    # Both sides are dealt as the store is, so that it is written without a further shuffle.
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text").repartition(buckets, "node")
+    wanted = nodes.distinct().repartition(buckets, "node")
+    return stores.create(texts.join(wanted.hint("shuffle_hash"), "node", "left_semi"), ["node"], buckets)
 
 
 def _texts(docs: Store, wanted: DataFrame) -> DataFrame:
@@ -325,8 +352,16 @@ def _least_centres(members: DataFrame) -> DataFrame:
 
 def _starred(members, centres, found, tried, docs, size):
     """Components and pairs tried, after each centre has met the members of its bucket that are not in its component."""
+    seen = _met(members, materialize(centres, "centres"), tried, docs, size)
+    tried = seen if tried is None else tried.union(seen)
+    new = seen.filter("linked")
+    return (found if new.isEmpty() else materialize(_relabelled(found, new), "components")), tried
+
+
+def _met(members, centres, tried, docs, size):
+    """a, b, linked: the members of each bucket with its centres of other components, but for pairs tried before."""
     at_least, of = SIMILAR
-    centres = materialize(centres, "centres").withColumnRenamed("bucket", "at")
+    centres = centres.withColumnRenamed("bucket", "at")
     # A set of less than 4/5 of another's size cannot reach the similarity.
     rays = members.join(centres, (F.col("bucket") == F.col("at")) & (F.col("component") != F.col("component_centre")) & (
         of * F.least("n", "n_centre") >= at_least * F.greatest("n", "n_centre")))
@@ -336,12 +371,19 @@ def _starred(members, centres, found, tried, docs, size):
         pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
     pairs = materialize(pairs, "pairs")
     if pairs.isEmpty():
-        return found, tried if tried is not None else pairs.withColumn("linked", F.lit(False))
+        return pairs.withColumn("linked", F.lit(False))
     texts = _texts(docs, pairs.select("a").union(pairs.select("b")).toDF("node"))
-    seen = materialize(confirmed(pairs, texts, size), "tried")
-    tried = seen if tried is None else tried.union(seen)
-    new = seen.filter("linked")
-    return (found if new.isEmpty() else materialize(_relabelled(found, new), "components")), tried
+    return materialize(confirmed(pairs, texts, size), "tried")
+
+
+def _pair_links(open_: DataFrame, tried: DataFrame, docs: Store, size: int) -> DataFrame:
+    """Links a, b between members of one bucket, for buckets of few members outside of the main component.
+
+    A pair comes once, whatever the number of buckets that both are in.
+    """
+    asked = open_.filter("component != main").select(
+        "bucket", F.col("node").alias("centre"), F.col("n").alias("n_centre"), F.col("component").alias("component_centre"))
+    return _met(open_, asked, tried, docs, size).filter("linked").select("a", "b")
 
 
 def _centres(open_: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
@@ -370,12 +412,11 @@ def _block_links(open_: DataFrame, facts: DataFrame, texts: DataFrame, size: int
     """
     known = materialize(open_.join(facts, "node").join(texts, "node"), "marked")
     asked = known.filter("component != main")
-    counts = materialize(asked.groupBy("bucket").agg(F.count("*").alias("n_asked")), "asked")
     row_blocks = F.ceil(F.col("rows") / F.lit(ROW_BLOCK)).cast("int")
     asked_blocks = F.ceil(F.col("n_asked") / F.lit(ASKED_BLOCK)).cast("int")
 
     def dealt(rows: DataFrame, own: str, blocks: Column, other: str, others: Column) -> DataFrame:
-        placed = rows.join(counts, "bucket").withColumn(own, F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        placed = rows.withColumn(own, F.pmod(F.xxhash64("node"), blocks).cast("int"))
         copies = placed.withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
         # New names of the same columns: both sides come from one table.
         return copies.select(*[F.col(c).alias(c) for c in (
