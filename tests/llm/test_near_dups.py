@@ -153,3 +153,48 @@ def test_texts_are_dealt_once(documents, monkeypatch):
         lines = text.splitlines()
         scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "text" in line and "Bucketed: true" in line)
         assert not [line for line in lines[:scan] if "Exchange" in line], text
+
+
+def test_only_texts_that_share_a_bucket_are_written(documents, monkeypatch):
+    """Texts without a neighbour are not stored; the last step writes a text once, not once for each bucket."""
+    stored, written, real, create = [], [], n.materialize, n.stores.create
+
+    def seen(df, label):
+        out = real(df, label)
+        if "text" in out.columns:
+            written.append(out.count())
+        return out
+
+    def kept(df, *args, **kwargs):
+        stored.append(df.count())
+        return create(df, *args, **kwargs)
+
+    monkeypatch.setattr(n, "materialize", seen)
+    monkeypatch.setattr(n.stores, "create", kept)
+    rng = random.Random(8)
+    docs = []
+    # Pairs just below the bound: they share buckets that no link settles.
+    for k in range(20):
+        base = " ".join(f"b{k}w{i}" for i in range(200))
+        docs += [(2 * k, base), (2 * k + 1, next(near_copies(rng, base, 1, 0.06)))]
+    docs += [(100 + k, " ".join(f"u{k}w{i}" for i in range(50))) for k in range(60)]
+    wanted = brute(docs)
+    assert {r["doc_id"]: r["component_id"] for r in n.near_duplicate_classes(documents(*docs)).collect()} == wanted
+    assert len(set(wanted.values())) > 60 + 20
+    assert stored == [40] and max(written) <= 40
+
+
+def test_last_step_by_pairs_and_by_blocks(documents, monkeypatch):
+    rng = random.Random(9)
+    base = " ".join(f"w{i}" for i in range(150))
+    docs = list(enumerate(near_copies(rng, base, 40, 0.05)))
+    wanted = brute(docs)
+    # No star meets anyone, so that all links are left to the last step.
+    monkeypatch.setattr(n, "_least_centres", lambda members: members.select(
+        "bucket", F.col("node").alias("centre"), F.col("n").alias("n_centre"), F.col("component").alias("component_centre")).limit(0))
+    monkeypatch.setattr(n, "_centres", lambda open_, tried, turn: open_.select(
+        "bucket", F.col("node").alias("centre"), F.col("n").alias("n_centre"), F.col("component").alias("component_centre")).limit(0))
+    for few in (0, 1000):
+        monkeypatch.setattr(n, "FEW_ASKED", few)
+        found = n.near_duplicate_classes(documents(*docs))
+        assert {r["doc_id"]: r["component_id"] for r in found.collect()} == wanted
